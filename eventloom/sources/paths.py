@@ -41,16 +41,21 @@ def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+# application id -> fallback folder of a local session
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, below the shared folder the cluster names.
 
     Without ``spark.checkpoint.dir`` only a local master may fall back to a local folder: on a
     cluster the executors could not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="eventloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.get(context.applicationId) or tempfile.mkdtemp(prefix="eventloom-")
+        _LOCAL[context.applicationId] = base
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
