@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.expressions import AsOf
 from eventloom.plans import curated, incremental, mart, staging
-from eventloom.plans.assertions import check_model
+from eventloom.plans.assertions import check_models
 from eventloom.plans.views import dag_quality_check
 from eventloom.sources.catalog import TABLES
-from eventloom.sources.lake import Lake, newer_than, newer_users
+from eventloom.sources.lake import Lake, dates_of, newer_than, newer_users
 
 ALL_CHECKS = ("unique_combination", "not_null_proportion", "accepted_values", "expression_is_true")
 
@@ -30,15 +30,15 @@ def gate(
     A table in date partitions is checked from ``since`` on only: older days passed before, and
     scanning all history every day would cost more than the models.
     """
-    for name in names:
-        df = lake.read(name)
-        table = TABLES[name]
-        if since is not None and table.needs_filter:
-            df = df.where(F.col(table.date_col) >= F.lit(since))
-        failed = check_model(df, name, as_of).where("NOT passed").where(F.col("check_type").isin(*enforce))
-        rows = failed.collect()  # one row per failed assertion
-        if rows:
-            raise GateFailed("; ".join(f"{r.model} {r.check_type} [{r.target}]: {r.failed_rows}" for r in rows))
+
+    def checked(name: str) -> DataFrame:
+        df, table = lake.read(name), TABLES[name]
+        return df if since is None or not table.needs_filter else df.where(F.col(table.date_col) >= F.lit(since))
+
+    found = check_models({n: checked(n) for n in names}, as_of)
+    rows = found.where("NOT passed").where(F.col("check_type").isin(*enforce)).collect()  # one per assertion
+    if rows:
+        raise GateFailed("; ".join(f"{r.model} {r.check_type} [{r.target}]: {r.failed_rows}" for r in rows))
 
 
 def _stage_events(lake: Lake, as_of: AsOf, lookback_days: int) -> dt.date | None:
@@ -54,9 +54,10 @@ def _stage_users(lake: Lake, as_of: AsOf) -> None:
     lake.upsert("stg_users", staging.stg_users(newer_users(lake.read("users"), mark, updated), as_of))
 
 
-def _store(lake: Lake, name: str, df: DataFrame) -> None:
-    # Daily models own whole days: their keys contain the date, so the upsert rewrites these days only.
-    lake.upsert(name, df)
+def _store(lake: Lake, name: str, df: DataFrame, since: dt.date | None, live: Collection[dt.date]) -> None:
+    """Models recompute whole days, so their partitions are replaced; emptied days disappear."""
+    known = lake.partitions(name) if since and lake.exists(name) else []
+    lake.replace_dates(name, df, [d for d in known if d and d >= since and d not in live])
 
 
 def run_models(lake: Lake, as_of: AsOf, enforce: Collection[str] = ALL_CHECKS, lookback_days: int = 0) -> DataFrame:
@@ -68,28 +69,29 @@ def run_models(lake: Lake, as_of: AsOf, enforce: Collection[str] = ALL_CHECKS, l
     events, users = lake.read("stg_events"), lake.read("stg_users")
     full = since is None or not lake.exists("user_metrics")
     if full:
-        _store(lake, "user_metrics", curated.user_metrics(events, users, as_of))
-        _store(lake, "event_metrics", curated.event_metrics(events, as_of))
+        since, live = None, set()
+        by_user = curated.user_metrics(events, users, as_of)
+        by_type = curated.event_metrics(events, as_of)
     else:
-        _store(lake, "user_metrics", incremental.slice_user_metrics(events, users, since, as_of))
-        _store(
-            lake, "event_metrics",
-            incremental.slice_event_metrics(events, lake.read("event_metrics"), since, as_of),
-        )
+        live = dates_of(events.where("is_valid").where(F.col("event_date") >= F.lit(since)), "event_date")
+        by_user = incremental.slice_user_metrics(events, users, since, as_of)
+        by_type = incremental.slice_event_metrics(events, lake.read("event_metrics"), since, as_of)
+    _store(lake, "user_metrics", by_user, since, live)
+    _store(lake, "event_metrics", by_type, since, live)
+
     metrics = lake.read("user_metrics")
-    _store(
-        lake, "ml_features",
-        curated.ml_features(metrics, as_of) if full else incremental.slice_ml_features(metrics, since, as_of),
-    )
+    features = curated.ml_features(metrics, as_of) if full else incremental.slice_ml_features(metrics, since, as_of)
+    _store(lake, "ml_features", features, since, live)
     gate(lake, ("user_metrics", "event_metrics", "ml_features"), as_of, enforce, since)
 
     if full:
-        _store(lake, "user_analytics", mart.user_analytics(metrics, as_of))
-        _store(lake, "business_metrics", mart.business_metrics(metrics, as_of))
+        analytics, business = mart.user_analytics(metrics, as_of), mart.business_metrics(metrics, as_of)
     else:
         days = [d for d in lake.partitions("user_metrics") if d]
-        _store(lake, "user_analytics", incremental.slice_user_analytics(metrics, since, as_of))
-        _store(lake, "business_metrics", incremental.slice_business_metrics(metrics, since, days, as_of))
+        analytics = incremental.slice_user_analytics(metrics, since, as_of)
+        business = incremental.slice_business_metrics(metrics, since, days, as_of)
+    _store(lake, "user_analytics", analytics, since, live)
+    _store(lake, "business_metrics", business, since, live)
     gate(lake, ("user_analytics", "business_metrics"), as_of, enforce, since)
     return dag_quality_check(events, users, as_of)
 

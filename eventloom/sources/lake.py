@@ -50,7 +50,7 @@ def on_dates(column: str, dates: Iterable[dt.date | None]) -> Column:
     return c | F.col(column).isNull() if None in dates else c
 
 
-def _dates_of(df: DataFrame, column: str) -> set[dt.date | None]:
+def dates_of(df: DataFrame, column: str) -> set[dt.date | None]:
     # At most one value per partition of the table reaches the driver.
     return {r[0] for r in df.select(column).distinct().collect()}
 
@@ -111,19 +111,20 @@ class Lake:
         write_table(df, self.path(name), table.date_col, table.cluster)
         self._remember(name, df)
 
-    def replace_dates(self, name: str, df: DataFrame, dates: Iterable[dt.date | None]) -> None:
-        """The given partitions become exactly ``df``, which must be materialised; safe to repeat."""
-        table, dates = TABLES[name], set(dates)
+    def replace_dates(self, name: str, df: DataFrame, gone: Iterable[dt.date | None] = ()) -> None:
+        """The partitions that occur in ``df`` become exactly ``df``, those in ``gone`` disappear.
+
+        For models that recompute whole days: one write, no read of the table, safe to repeat.
+        """
+        table = TABLES[name]
         write_table(df, self.path(name), table.date_col, table.cluster, only_dates_present=True)
         self._remember(name, df)
-        self._drop_partitions(name, dates - _dates_of(df, table.date_col))
+        self._drop_partitions(name, gone)
 
     def append_day(self, name: str, staged: DataFrame, day: dt.date) -> None:
         """Load one day into a table.  A repeated run replaces the day instead of doubling it."""
         table = TABLES[name]
-        rows = staged.where(F.col(table.date_col) == F.lit(day))
-        write_table(rows, self.path(name), table.date_col, table.cluster, only_dates_present=True)
-        self._remember(name, staged)
+        self.replace_dates(name, staged.where(F.col(table.date_col) == F.lit(day)))
 
     def materialise(self, df: DataFrame, label: str) -> DataFrame:
         """Write to the shared scratch folder and read back: a lineage cut that survives lost executors."""
@@ -144,16 +145,16 @@ class Lake:
             return
         batch = self.materialise(batch, f"upsert-{name}")  # used several times below
         target = sync_columns(self.read(name), batch)
-        gaining = _dates_of(batch, table.date_col)
+        gaining = dates_of(batch, table.date_col)
         losing: set = set()
         if not table.key_fixes_date:
             # Only the key and the partition column of the target are read here.
-            losing = _dates_of(with_keys_of(target.select(*table.keys, table.date_col), batch, table.keys), table.date_col)
+            losing = dates_of(with_keys_of(target.select(*table.keys, table.date_col), batch, table.keys), table.date_col)
         touched = gaining | losing
         kept = without_keys_of(target.where(on_dates(table.date_col, touched)), batch, table.keys)
         emptied = losing - gaining
         if emptied:
-            emptied -= _dates_of(kept.where(on_dates(table.date_col, emptied)), table.date_col)
+            emptied -= dates_of(kept.where(on_dates(table.date_col, emptied)), table.date_col)
         merged = kept.unionByName(batch)
         write_table(merged, self.path(name), table.date_col, table.cluster, only_dates_present=True)
         self._remember(name, batch)
