@@ -41,10 +41,10 @@ def gate(
         raise GateFailed("; ".join(f"{r.model} {r.check_type} [{r.target}]: {r.failed_rows}" for r in rows))
 
 
-def _stage_events(lake: Lake, as_of: AsOf, lookback_days: int) -> dt.date | None:
+def _stage_events(lake: Lake, as_of: AsOf, lookback_days: int, search_back_days: int | None) -> dt.date | None:
     mark = lake.watermark("stg_events")
     fresh = newer_than(lake.read("events"), "event_date", mark, lookback_days)
-    lake.upsert("stg_events", staging.stg_events(fresh, as_of))
+    lake.upsert("stg_events", staging.stg_events(fresh, as_of), search_back_days)
     return mark and mark - dt.timedelta(days=lookback_days)
 
 
@@ -60,9 +60,19 @@ def _store(lake: Lake, name: str, df: DataFrame, since: dt.date | None, live: Co
     lake.replace_dates(name, df, [d for d in known if d and d >= since and d not in live])
 
 
-def run_models(lake: Lake, as_of: AsOf, enforce: Collection[str] = ALL_CHECKS, lookback_days: int = 0) -> DataFrame:
-    """Bring every model up to date from the raw tables; returns yesterday's validity rows."""
-    since = _stage_events(lake, as_of, lookback_days)
+def run_models(
+    lake: Lake,
+    as_of: AsOf,
+    enforce: Collection[str] = ALL_CHECKS,
+    lookback_days: int = 0,
+    search_back_days: int | None = None,
+) -> DataFrame:
+    """Bring every model up to date from the raw tables; returns yesterday's validity rows.
+
+    ``lookback_days`` re-reads days before the newest one, for late events; ``search_back_days``
+    bounds how far the upsert looks for earlier versions of the same event.
+    """
+    since = _stage_events(lake, as_of, lookback_days, search_back_days)
     _stage_users(lake, as_of)
     gate(lake, ("stg_events", "stg_users"), as_of, enforce, since)
 

@@ -132,9 +132,13 @@ class Lake:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def upsert(self, name: str, batch: DataFrame) -> None:
+    def upsert(self, name: str, batch: DataFrame, search_back_days: int | None = None) -> None:
         """Replace rows with the batch's keys, add the others, adopt the batch's columns.
 
+        A key may have moved from any older partition, so by default the key column of the whole
+        table is searched.  Where the feed guarantees that keys move at most some days, say so with
+        ``search_back_days``: older partitions are then not even listed in the scan.
+
         Only partitions that gain or lose rows are rewritten.  New files are staged by the dynamic
         overwrite and moved in at commit, so a failed job leaves the table as it was.
         """
@@ -149,7 +153,12 @@ class Lake:
         losing: set = set()
         if not table.key_fixes_date:
             # Only the key and the partition column of the target are read here.
-            losing = dates_of(with_keys_of(target.select(*table.keys, table.date_col), batch, table.keys), table.date_col)
+            searched = target.select(*table.keys, table.date_col)
+            first = min((d for d in gaining if d), default=None)
+            if search_back_days is not None and first is not None:
+                oldest = F.lit(first - dt.timedelta(days=search_back_days))
+                searched = searched.where((F.col(table.date_col) >= oldest) | F.col(table.date_col).isNull())
+            losing = dates_of(with_keys_of(searched, batch, table.keys), table.date_col)
         touched = gaining | losing
         kept = without_keys_of(target.where(on_dates(table.date_col, touched)), batch, table.keys)
         emptied = losing - gaining

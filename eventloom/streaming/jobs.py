@@ -12,11 +12,18 @@ from eventloom.plans.staging import stg_events
 from eventloom.sources.lake import Lake
 
 
-def stage_into(lake: Lake, raw: DataFrame, checkpoint: str, as_of: AsOf, name: str = "stg_events") -> StreamingQuery:
+def stage_into(
+    lake: Lake,
+    raw: DataFrame,
+    checkpoint: str,
+    as_of: AsOf,
+    name: str = "stg_events",
+    search_back_days: int | None = None,
+) -> StreamingQuery:
     """Stage a raw event stream; every micro-batch is upserted, so a replayed batch changes nothing."""
 
     def land(batch: DataFrame, _: int) -> None:
-        lake.upsert(name, batch)
+        lake.upsert(name, batch, search_back_days)
 
     return (
         stg_events(raw, as_of)

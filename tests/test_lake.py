@@ -126,3 +126,16 @@ def test_watermark_comes_from_the_listing(spark, lake):
     assert lake.watermark("events") is None
     lake.replace("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x"), ("b", "click", None, "y")))
     assert lake.watermark("events") == D1
+
+
+def test_bounded_key_search(spark, lake):
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "old"), ("b", "click", "2024-01-02 10:00:00", "old")))
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-03 10:00:00", "new"), ("b", "click", "2024-01-03 10:00:00", "new")), 1)
+    # b moved one day and is found; a moved two days, which the caller excluded
+    assert stored(lake) == [("a", D1, "old"), ("a", D3, "new"), ("b", D3, "new")]
+
+
+def test_scratch_lives_in_the_shared_folder(spark):
+    from eventloom.sources.paths import scratch_dir
+
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
