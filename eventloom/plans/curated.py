@@ -6,50 +6,76 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions import measures as m
-from eventloom.functions.expressions import AsOf, as_of_date, as_of_ts, clamp, growth, ratio_or
+from eventloom.functions.expressions import AsOf, as_of_date, as_of_ts, clamp, growth, ratio, ratio_or
 from eventloom.operators.windows import ROWS, lifetime, previous, sums, trailing
 
 BIG, SMALL = 1000, 100  # revenue thresholds of the value tiers
 
 
 def valid_daily(events: DataFrame) -> DataFrame:
+    # A valid event has a timestamp, hence a date: the keys below are never NULL.
     return events.where("is_valid").withColumnRenamed("event_date", "date")
 
 
-def daily_user_activity(events: DataFrame) -> DataFrame:
-    """The user-day aggregate behind ``user_metrics``.
+def _per_day(events: DataFrame, key: str, plain: dict[str, Column], distincts: dict[str, str]) -> DataFrame:
+    """Daily aggregates of one key, exact distinct counts beside the plain ones.
 
-    The exact distincts are planned as Expand + two partial aggregations, so a user with a huge
-    day is combined on the map side and its distinct values spread over the reducers; a
-    collect_set would gather them in one buffer.
+    The two kinds are aggregated apart and joined on the layout both end with, so the join adds no
+    exchange.  In one aggregate the distinct counts are expanded to a row per value, and every
+    such row would drag the buffers of all plain aggregates through both shuffles.  The expanded
+    rows are spread by their values and combined on the map side, so neither a user with a huge day
+    nor a huge event type ends up in one task; a collect_set would gather it in one buffer.
     """
-    sessions = m.distinct("session_id")
-    return (
-        valid_daily(events)
-        .groupBy("user_id", "date")
-        .agg(
-            m.rows().alias("total_events"),
-            m.distinct("event_type").alias("unique_event_types"),
-            sessions.alias("unique_sessions"),
-            F.count_if(m.is_type("purchase")).alias("total_purchases"),
-            m.revenue().alias("total_revenue"),
-            F.avg(m.purchase_amount()).alias("avg_purchase_amount"),
-            m.hits("platform", "web").alias("web_events"),
-            m.hits("platform", "mobile").alias("mobile_events"),
-            m.hits("device_type", "desktop").alias("desktop_events"),
-            m.hits("device_type", "mobile").alias("mobile_device_events"),
-            m.hits("event_type", "page_view").alias("page_views"),
-            m.hits("event_type", "signup").alias("signups"),
-            m.hits("event_type", "login").alias("logins"),
-            m.distinct("product_id").alias("unique_products_viewed"),
-            m.distinct("category").alias("unique_categories_viewed"),
-            sessions.alias("total_sessions"),
-            m.events_per("session_id").alias("avg_events_per_session"),
-            m.revenue("USD").alias("revenue_usd"),
-            m.revenue("EUR").alias("revenue_eur"),
-            m.missing("amount", "purchase").alias("purchases_without_amount"),
-            m.missing("product_id", "purchase").alias("purchases_without_product"),
-        )
+    daily = valid_daily(events)
+    keys = [key, "date"]
+    measured = daily.groupBy(*keys).agg(*[c.alias(n) for n, c in plain.items()])
+    counted = daily.groupBy(*keys).agg(*[m.distinct(c).alias(n) for n, c in distincts.items()])
+    return measured.join(counted, keys)
+
+
+def daily_user_activity(events: DataFrame) -> DataFrame:
+    """The user-day aggregate behind ``user_metrics``."""
+    wide = _per_day(
+        events,
+        "user_id",
+        {
+            "total_events": m.rows(),
+            "total_purchases": F.count_if(m.is_type("purchase")),
+            "total_revenue": m.revenue(),
+            "avg_purchase_amount": F.avg(m.purchase_amount()),
+            "web_events": m.hits("platform", "web"),
+            "mobile_events": m.hits("platform", "mobile"),
+            "desktop_events": m.hits("device_type", "desktop"),
+            "mobile_device_events": m.hits("device_type", "mobile"),
+            "page_views": m.hits("event_type", "page_view"),
+            "signups": m.hits("event_type", "signup"),
+            "logins": m.hits("event_type", "login"),
+            "revenue_usd": m.revenue("USD"),
+            "revenue_eur": m.revenue("EUR"),
+            "purchases_without_amount": m.missing("amount", "purchase"),
+            "purchases_without_product": m.missing("product_id", "purchase"),
+        },
+        {
+            "unique_event_types": "event_type",
+            "unique_sessions": "session_id",
+            "unique_products_viewed": "product_id",
+            "unique_categories_viewed": "category",
+        },
+    )
+    return wide.withColumns(
+        {
+            "total_sessions": F.col("unique_sessions"),
+            "avg_events_per_session": ratio(F.col("total_events"), F.col("unique_sessions"), 2),
+        }
+    ).select(
+        "user_id", "date",
+        "total_events", "unique_event_types", "unique_sessions",
+        "total_purchases", "total_revenue", "avg_purchase_amount",
+        "web_events", "mobile_events", "desktop_events", "mobile_device_events",
+        "page_views", "signups", "logins",
+        "unique_products_viewed", "unique_categories_viewed",
+        "total_sessions", "avg_events_per_session",
+        "revenue_usd", "revenue_eur", "purchases_without_amount", "purchases_without_product",
     )
 
 
@@ -97,32 +123,48 @@ def _event_category() -> Column:
 
 
 def daily_event_type_activity(events: DataFrame) -> DataFrame:
-    """Event-type days.  Few, huge groups: everything is pre-aggregated before each exchange."""
-    return (
-        valid_daily(events)
-        .groupBy("event_type", "date")
-        .agg(
-            m.rows().alias("total_events"),
-            m.distinct("user_id").alias("unique_users"),
-            m.distinct("session_id").alias("unique_sessions"),
-            m.revenue().alias("total_revenue"),
-            F.avg(m.purchase_amount()).alias("avg_revenue_per_event"),
-            F.min(m.purchase_amount()).alias("min_revenue_per_event"),
-            F.max(m.purchase_amount()).alias("max_revenue_per_event"),
-            m.hits("platform", "web").alias("web_events"),
-            m.hits("platform", "mobile").alias("mobile_events"),
-            m.hits("device_type", "desktop").alias("desktop_events"),
-            m.hits("device_type", "mobile").alias("mobile_device_events"),
-            m.hits("device_type", "tablet").alias("tablet_events"),
-            m.distinct("product_id").alias("unique_products"),
-            m.distinct("category").alias("unique_categories"),
-            *[m.revenue(c).alias(f"revenue_{c.lower()}") for c in ("USD", "EUR", "GBP")],
-            m.missing("amount", "purchase").alias("purchases_without_amount"),
-            m.missing("product_id", "purchase").alias("purchases_without_product"),
-            m.missing("category", "page_view", "purchase").alias("events_without_category"),
-            m.events_per("user_id").alias("avg_events_per_user"),
-            m.events_per("session_id").alias("avg_events_per_session"),
-        )
+    """Event-type days: few, huge groups."""
+    wide = _per_day(
+        events,
+        "event_type",
+        {
+            "total_events": m.rows(),
+            "total_revenue": m.revenue(),
+            "avg_revenue_per_event": F.avg(m.purchase_amount()),
+            "min_revenue_per_event": F.min(m.purchase_amount()),
+            "max_revenue_per_event": F.max(m.purchase_amount()),
+            "web_events": m.hits("platform", "web"),
+            "mobile_events": m.hits("platform", "mobile"),
+            "desktop_events": m.hits("device_type", "desktop"),
+            "mobile_device_events": m.hits("device_type", "mobile"),
+            "tablet_events": m.hits("device_type", "tablet"),
+            **{f"revenue_{c.lower()}": m.revenue(c) for c in ("USD", "EUR", "GBP")},
+            "purchases_without_amount": m.missing("amount", "purchase"),
+            "purchases_without_product": m.missing("product_id", "purchase"),
+            "events_without_category": m.missing("category", "page_view", "purchase"),
+        },
+        {
+            "unique_users": "user_id",
+            "unique_sessions": "session_id",
+            "unique_products": "product_id",
+            "unique_categories": "category",
+        },
+    )
+    n = F.col("total_events")
+    return wide.withColumns(
+        {
+            "avg_events_per_user": ratio(n, F.col("unique_users"), 2),
+            "avg_events_per_session": ratio(n, F.col("unique_sessions"), 2),
+        }
+    ).select(
+        "event_type", "date",
+        "total_events", "unique_users", "unique_sessions",
+        "total_revenue", "avg_revenue_per_event", "min_revenue_per_event", "max_revenue_per_event",
+        "web_events", "mobile_events", "desktop_events", "mobile_device_events", "tablet_events",
+        "unique_products", "unique_categories",
+        "revenue_usd", "revenue_eur", "revenue_gbp",
+        "purchases_without_amount", "purchases_without_product", "events_without_category",
+        "avg_events_per_user", "avg_events_per_session",
     )
 
 

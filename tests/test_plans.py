@@ -58,12 +58,18 @@ def test_lookup_filters_reach_the_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in text
 
 
-def test_user_metrics_distincts_are_partially_aggregated_twice(spark):
-    text = plan(Layers(spark, SF).metrics)
-    assert "Expand" in text and "collect_set" not in text
-    # one exchange over the distinct values, so that a hot user's day is spread, one over the days
-    first = re.search(r"hashpartitioning\(user_id#\d+, date#\d+, ([^)]*)\)", text)
-    assert "session_id" in text[text.index("Expand"):] and "gid" in text and first
+def test_daily_aggregates_add_no_exchange_for_their_join(spark, tmp_path):
+    staging.stg_events(star.raw_events(spark, SF), AS_OF).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (curated.daily_user_activity(events), curated.daily_event_type_activity(events)):
+            text = plan(df)
+            # plain aggregates: one; distinct counts: one over the values, one over the days
+            assert exchanges(df) == 3 and "SortMergeJoin" in text
+            assert "Expand" in text and "collect_set" not in text and "gid" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_no_python_in_any_batch_plan(spark):
