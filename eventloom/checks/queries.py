@@ -507,7 +507,7 @@ def dq_null_profile(spark, folder):
 
 @query
 def dq_duplicates(spark, folder):
-    """Copies of whole rows, NULLs included: the day's events plus a second copy of their sessions' starts."""
+    """Copies of whole rows, NULLs included: the day's events plus a second copy of its purchases."""
     raw = star.raw_events(spark, folder)
     twice = raw.unionByName(raw.where("event_type = 'purchase'"))
     return q.duplicate_rows(twice.where(views.on_previous_day("event_date", AS_OF)), "events")
