@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,21 @@ from pyspark.sql import functions as F
 from eventloom.sources import paths
 
 FOLDS = 5
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of this application, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    where = Path(tempfile.mkdtemp(prefix="eventloom-code-")) / "eventloom.zip"  # read by the driver only, which serves it
+    with zipfile.ZipFile(where, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(where))
+    _SHIPPED.add(context.applicationId)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,11 +78,3 @@ def starts(table: pa.Table, keys: list[str]) -> list[int]:
     columns = [table.column(k).to_pylist() for k in keys]
     rows = list(zip(*columns, strict=True))
     return [i for i, r in enumerate(rows) if i == 0 or r != rows[i - 1]]
-
-
-def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
-def record_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

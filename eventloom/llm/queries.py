@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import bpe
-from eventloom.llm.common import table
+from eventloom.llm import bpe, decontaminate, langid, secrets, token_counts
+from eventloom.llm.common import held_out, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -27,3 +34,42 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole document encoded by the pair occurrence index and decoded again."""
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer_path()).drop("decoded")
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document by its smallest compressed size; learned on the training folds."""
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, langid.learned(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+@query
+def op8_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a passage of a test item, substitutions tolerated."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact totals and truncated totals of encoded lengths, for every length as a context limit."""
+    histo = token_counts.histogram(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+    return token_counts.suffix_sums(histo)
+
+
+@query
+def op10_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: fixed patterns, and formats learned from what those label."""
+    docs = table(spark, folder, "documents")
+    found = secrets.scan(docs, secrets.learned(docs)).withColumn("_base", F.filter("found", lambda s: s["kind"] != "grammar"))
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined("_base"), 256).alias("base_sha256"), joined("found").alias("spans"),
+    )
