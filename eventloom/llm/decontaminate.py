@@ -35,11 +35,11 @@ def tokens(text: Column) -> Column:
 
 def _seed(words: Column, at: Column, mask: Column) -> Column:
     """The hash of the unmasked tokens of the window at ``at``; one mask is evaluated per row."""
-    hashed = None
-    for i, offsets in enumerate(MASKS):
-        one = F.xxhash64(F.lit(i), *[F.get(words, at + k) for k in offsets])
-        hashed = F.when(mask == i, one) if hashed is None else hashed.when(mask == i, one)
-    return hashed
+    hashes = [F.xxhash64(F.lit(i), *[F.get(words, at + k) for k in offsets]) for i, offsets in enumerate(MASKS)]
+    chosen = F.when(mask == 0, hashes[0])
+    for i, h in enumerate(hashes[1:-1], 1):
+        chosen = chosen.when(mask == i, h)
+    return chosen.otherwise(hashes[-1])
 
 
 def _windows(df: DataFrame, words: str) -> DataFrame:
@@ -47,8 +47,8 @@ def _windows(df: DataFrame, words: str) -> DataFrame:
     last = F.size(words) - SPAN
     slot = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last * len(MASKS) + (len(MASKS) - 1))))
     slots = df.select("*", slot.alias("_slot"))
-    at, mask = (F.col("_slot") / len(MASKS)).cast("int"), F.col("_slot") % len(MASKS)
-    return slots.select("*", at.alias("_at"), _seed(F.col(words), at, mask).alias("_seed")).drop("_slot")
+    placed = slots.withColumns({"_at": F.expr(f"int(_slot div {len(MASKS)})"), "_mask": F.col("_slot") % len(MASKS)})
+    return placed.withColumn("_seed", _seed(F.col(words), F.col("_at"), F.col("_mask"))).drop("_slot", "_mask")
 
 
 def item_seeds(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -72,21 +72,23 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str
     """
     seeds = stored(item_seeds(items, item_key, text), "item-seeds")
     blocks = max(1, -(-seeds.count() // seed_rows))
-    base = docs.select(F.col(key).alias("_doc"), tokens(F.col(text)).alias("_words"))
-    offsets = range(-BEFORE, REACH)
+    # The one-element explode makes the tokens a value of its own: else generated code would split
+    # the text again for every window.
+    base = docs.select(F.col(key).alias("_doc"), F.explode(F.array(tokens(F.col(text)))).alias("_words"))
 
     def found(block: int) -> DataFrame:
         part = seeds if blocks == 1 else seeds.where(F.pmod(F.xxhash64("_seed", "_item"), F.lit(blocks)) == block)
         hits = _windows(base, "_words").join(F.broadcast(part), "_seed")
-        same = [(F.get("_words", F.col("_at") + k) == F.get("_around", F.lit(k + BEFORE))).alias(f"_e{k + BEFORE}") for k in offsets]
-        hits = hits.select("_doc", "_item", "_need", *same)
-        flags = [F.when(F.col(f"_e{i}"), 1).otherwise(0) for i in range(len(offsets))]
-        sums = [reduce(lambda a, b: a + b, flags[i : i + REACH]) for i in range(BEFORE + 1)]
-        return hits.select("_doc", "_item", "_need", F.greatest(*sums).alias("_matched")).where("_matched >= _need")
+        same = F.transform(F.sequence(F.lit(0), F.lit(BEFORE + REACH - 1)), lambda k: F.get("_words", F.col("_at") + k - BEFORE) == F.get("_around", k))
+        stretches = F.transform(F.sequence(F.lit(1), F.lit(BEFORE + 1)), lambda i: F.size(F.filter(F.slice("_same", i, REACH), lambda e: e)))
+        hits = hits.select("_doc", "_item", "_need", same.alias("_same"))
+        return hits.select("_doc", "_item", "_need", F.array_max(stretches).alias("_matched"))
 
     hits = reduce(DataFrame.unionAll, [found(b) for b in range(blocks)])
     return (
-        hits.groupBy("_doc", "_item")
+        hits.groupBy("_doc", "_item", "_need")
         .agg(F.max("_matched").cast("long").alias("matched_tokens"), F.count("*").alias("n_hits"))
+        .where(F.col("matched_tokens") >= F.col("_need"))
+        .drop("_need")
         .withColumnsRenamed({"_doc": key, "_item": item_key})
     )
