@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, langid, secrets, token_counts
+from eventloom.llm import bpe, decontaminate, langid, minhash, secrets, token_counts
 from eventloom.llm.common import held_out, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer_path()).drop("decoded")
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-copy groups of all documents."""
+    return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document by its smallest compressed size; learned on the training folds."""
