@@ -87,8 +87,15 @@ class Sets:
 
 def postings(classes: DataFrame) -> DataFrame:
     """(group, node): each class under the rarest coordinate-value pairs that others have too."""
-    pairs = classes.select("set_id", F.posexplode("values").alias("at", "value"))
-    pairs = pairs.select(F.col("set_id").alias("node"), (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value")).alias("group"))
+    slot = np.arange(COORDINATES, dtype=np.int64) << 32
+
+    def posted(batches):
+        for batch in batches:
+            signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
+            nodes = batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), COORDINATES)))
+            yield pa.RecordBatch.from_arrays([pa.array((signs.astype(np.int64) | slot).ravel()), nodes], names=["group", "node"])
+
+    pairs = classes.select(F.col("set_id").alias("node"), "signature").mapInArrow(posted, "group long, node binary")
     common = pairs.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
     ordered = pairs.join(common, "group").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "group"))).alias("pairs"))
     # Pairs nobody else has are the rarest and link nothing: of the shared ones, all but the
@@ -132,10 +139,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select("set_id", F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), "signature")
     )
     classes = stored(classes, "near-classes")
-    values = F.transform(
-        F.sequence(F.lit(1), F.lit(COORDINATES * 8 - 7), F.lit(8)), lambda i: F.conv(F.substring(F.hex("signature"), i, F.lit(8)), 16, 10).cast("long")
-    )
-    posts = stored(postings(classes.select("set_id", values.alias("values"))), "near-posts")
+    posts = stored(postings(classes), "near-posts")
     signs = classes.select(F.col("set_id").alias("node"), F.lit(1).alias("weight"), F.col("signature").alias("payload"))
     candidates = linked(posts, signs, Signatures, "near-candidates", BLOCK_SETS, BLOCK_SETS)
 

@@ -15,6 +15,8 @@ from eventloom.llm.common import held_out, ship, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def query(fn):
     @wraps(fn)
@@ -42,6 +44,24 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
 
 
+ORACLES["op5_near_duplicates"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, p.b FROM reach r JOIN pairs p ON r.other = p.a
+)
+SELECT d.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+FROM documents d JOIN sets s USING (doc_id) JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document by its smallest compressed size; learned on the training folds."""
@@ -56,6 +76,30 @@ def op8_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def leak_sql() -> str:
+    """Masked windows as text keys, joined; then the best aligned stretch around each hit."""
+    d = decontaminate
+
+    def windows(words: str, rows: str) -> str:
+        keys = ", ".join("concat_ws(' ', " + f"'{i}', " + ", ".join(f"w[p + {k}]" for k in m) + ")" for i, m in enumerate(d.MASKS))
+        return f"SELECT *, unnest([{keys}]) AS k FROM (SELECT *, unnest(range(1, len(w) - {d.SPAN - 2})) AS p FROM {rows})"
+
+    same = " + ".join(f"(coalesce(dw[dp + o + {k}] = iw[ip + o + {k}] AND ip + o + {k} > 0 AND dp + o + {k} > 0, false))::INT" for k in range(d.REACH))
+    token = f"regexp_extract_all(lower(coalesce(text, '')), '{d.TOKEN}')"
+    return f"""
+WITH docs AS (SELECT doc_id, {token} AS w FROM documents),
+items AS (SELECT min(item_id) AS item_id, w FROM (SELECT item_id, {token} AS w FROM benchmark) GROUP BY w),
+dk AS ({windows('w', 'docs')}), ik AS ({windows('w', 'items')}),
+hits AS (SELECT dk.doc_id, ik.item_id, dk.p AS dp, ik.p AS ip, dk.w AS dw, ik.w AS iw, unnest(range(-{d.BEFORE}, 1)) AS o, dk.k AS k FROM dk JOIN ik USING (k)),
+counted AS (SELECT doc_id, item_id, dp, ip, k, {same} AS m, ceil(least(len(iw), {d.REACH}) * {d.SHARE}) AS need FROM hits)
+SELECT doc_id, item_id, CAST(max(m) AS BIGINT) AS matched_tokens, count(DISTINCT (dp, ip, k)) AS n_hits
+FROM counted GROUP BY doc_id, item_id, need HAVING max(m) >= need
+"""
+
+
+ORACLES["op8_benchmark_leaks"] = leak_sql()
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Exact totals and truncated totals of encoded lengths, for every length as a context limit."""
