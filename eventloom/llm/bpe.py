@@ -200,19 +200,6 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str, chars: int = BLOCK_CH
             start = stop
 
 
-def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): token ids of every whole text; NULL counts as the empty text."""
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches):
-        encoder = Encoder(path)
-        for block in blocks(batches, "_text"):
-            ids = encoder.encode(block.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays([block.column("_key"), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"])
-
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(run, f"{key} {kind}, ids array<int>")
-
-
 def decoded(encodings: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """(key, text) from (key, ids)."""
     kind = encodings.schema[key].dataType.simpleString()
@@ -226,31 +213,35 @@ def decoded(encodings: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encodings.select(F.col(key).alias("_key"), F.col("ids").alias("_ids")).mapInArrow(run, f"{key} {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+OUTPUTS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "array<int>", "decoded": "string"}
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", carry: tuple[str, ...] = ("doc_id",), outputs: tuple[str, ...] = tuple(OUTPUTS), prefix: str = "") -> DataFrame:
     """Encode every whole text and decode it again, in one pass over the data.
 
-    Returns key, the ``carry`` columns, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by
-    commas), ``decoded`` and ``decoded_sha256``.  NULL counts as the empty text; repeated rows and
-    NULL keys are kept as they are.
+    Returns the ``carry`` columns and any of ``n_tokens``, ``ids``, ``ids_sha256`` (of the decimal ids
+    joined by commas), ``decoded`` and ``decoded_sha256``; ``prefix`` is put before these names where
+    carried columns may have them already.  NULL counts as the empty text, which has no ids; repeated
+    rows and NULLs in other columns are kept as they are.
     """
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    out = ", ".join([f"`{key}` {fields[key]}", *[f"`{c}` {fields[c]}" for c in carry], "n_tokens long", "ids_sha256 string", "decoded string", "decoded_sha256 string"])
+    out = ", ".join([*[f"`{c}` {fields[c]}" for c in carry], *[f"`{prefix}{o}` {OUTPUTS[o]}" for o in outputs]])
 
     def run(batches):
         encoder = Encoder(path)
+        make = {
+            "n_tokens": lambda ids, backs: pa.array([len(i) for i in ids], pa.int64()),
+            "ids": lambda ids, backs: pa.ListArray.from_arrays(np.cumsum([0, *map(len, ids)]).astype(np.int32), pa.array(np.concatenate(ids) if ids else [], pa.int32())),
+            "ids_sha256": lambda ids, backs: pa.array([hashlib.sha256(encoder.decimals(i)).hexdigest() for i in ids], pa.string()),
+            "decoded": lambda ids, backs: pa.array(backs, pa.string()),
+            "decoded_sha256": lambda ids, backs: pa.array([hashlib.sha256(b.encode("utf-8", "replace")).hexdigest() for b in backs], pa.string()),
+        }
         for block in blocks(batches, "_text"):
-            counts, marks, texts, checks = [], [], [], []
-            for ids in encoder.encode(block.column("_text").to_pylist()):
-                back = encoder.decode(ids)
-                counts.append(len(ids))
-                marks.append(hashlib.sha256(encoder.decimals(ids)).hexdigest())
-                texts.append(back)
-                checks.append(hashlib.sha256(back.encode("utf-8", "replace")).hexdigest())
+            ids = encoder.encode(block.column("_text").to_pylist())
+            backs = [encoder.decode(i) for i in ids]
             yield pa.RecordBatch.from_arrays(
-                [block.column(i) for i in range(1, block.num_columns)]
-                + [pa.array(counts, pa.int64()), pa.array(marks, pa.string()), pa.array(texts, pa.string()), pa.array(checks, pa.string())],
-                names=[key, *carry, "n_tokens", "ids_sha256", "decoded", "decoded_sha256"],
+                [block.column(i) for i in range(1, block.num_columns)] + [make[o](ids, backs) for o in outputs],
+                names=[*carry, *[f"{prefix}{o}" for o in outputs]],
             )
 
-    columns = [F.col(text).alias("_text"), F.col(key), *[F.col(c) for c in carry]]
-    return docs.select(*columns).mapInArrow(run, out)
+    return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)

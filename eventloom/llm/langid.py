@@ -106,10 +106,14 @@ def decide(text: str | None, compressors: dict[str, zstandard.ZstdCompressor], m
     return ranked[0], score, margin, margin <= min_margin
 
 
-def identify(docs: DataFrame, languages: Languages, text: str = "text", carry: tuple[str, ...] = ("doc_id",), min_margin: float = MIN_MARGIN) -> DataFrame:
-    """The ``carry`` columns with lang_pred, score, margin and rejected, for every row."""
+def identify(docs: DataFrame, languages: Languages, text: str = "text", carry: tuple[str, ...] = ("doc_id",), min_margin: float = MIN_MARGIN, prefix: str = "") -> DataFrame:
+    """The ``carry`` columns with lang_pred, score, margin and rejected, for every row.
+
+    ``prefix`` is put before the new names where carried columns may have them already.
+    """
+    names = [f"{prefix}{n}" for n in ("lang_pred", "score", "margin", "rejected")]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    out = ", ".join([f"`{c}` {fields[c]}" for c in carry] + ["lang_pred string", "score double", "margin double", "rejected boolean"])
+    out = ", ".join([f"`{c}` {fields[c]}" for c in carry] + [f"`{n}` {t}" for n, t in zip(names, ("string", "double", "double", "boolean"), strict=True)])
 
     def run(batches):
         compressors = languages.compressors()
@@ -119,7 +123,7 @@ def identify(docs: DataFrame, languages: Languages, text: str = "text", carry: t
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(1, batch.num_columns)]
                 + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*carry, "lang_pred", "score", "margin", "rejected"],
+                names=[*carry, *names],
             )
 
     return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)

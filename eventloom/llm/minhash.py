@@ -124,12 +124,13 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text_hash, n_shingles, component_id, kept) for every row.
+    """(key, text_hash, n_shingles, group_id, component_id, kept) for every row.
 
     ``component_id`` is the smallest key reachable over links, ``kept`` says that the row's key is it.
     Texts that are NULL, empty or without words have no shingles, link with nothing and are kept.
     Rows with a NULL key take part; a group of such rows alone has the component NULL and is kept.
-    Repeated rows share one component, and all rows with its smallest key are kept.
+    Repeated rows share one component, and all rows with its smallest key are kept.  ``group_id`` names
+    the component also where keys are NULL; it is NULL without shingles.
     """
     marked = stored(marks(docs, key, text), "near-marks")
     classes = (
@@ -151,7 +152,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     named = reps.join(found, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(smallest, "component").select(F.col("node").alias("set_id"), "component_id"), "near-named")
-    labelled = marked.where("n_shingles > 0").join(named, "set_id").select(key, "text_hash", "n_shingles", "component_id")
-    empty = marked.where("n_shingles = 0").select(key, "text_hash", "n_shingles", F.col(key).alias("component_id"))
+    named = stored(named.join(smallest, "component").select(F.col("node").alias("set_id"), F.col("component").alias("group_id"), "component_id"), "near-named")
+    labelled = marked.where("n_shingles > 0").join(named, "set_id").select(key, "text_hash", "n_shingles", "group_id", "component_id")
+    empty = marked.where("n_shingles = 0").select(key, "text_hash", "n_shingles", F.lit(None).cast("binary").alias("group_id"), F.col(key).alias("component_id"))
     return labelled.unionAll(empty).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-copy group: that of the smallest key, of the smallest text
+    hash among equal keys.  Rows without shingles all stay.  Columns are as they were."""
+    flags = stored(near_duplicates(docs, key, text).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), "group_id"), "near-flags")
+    row = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("id"), F.col("_hash").alias("hash"))
+    best = flags.where("group_id is not null").groupBy("group_id").agg(F.min(row).alias("best"), F.count("*").alias("n")).where("n > 1")
+    best = stored(best, "near-best")
+    judged = flags.join(best, "group_id").withColumn("wins", row == F.col("best"))
+    judged = stored(judged.groupBy("_key", "_hash").agg(F.max("wins").alias("wins"), F.count("*").alias("copies")), "near-judged")
+    rest = without(docs, judged.where("not wins"), key, text)
+    repeated = judged.where("wins and copies > 1").select("_key", "_hash")
+    if repeated.isEmpty():
+        return rest
+    again = _matching(rest, repeated, key, text, "left_semi")
+    single = again.withColumn("_mark", F.xxhash64(text)).dropDuplicates([key, "_mark"]).select(docs.columns)
+    return without(rest, repeated, key, text).unionAll(single)
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` less the rows named by (_key, _hash): their key and the xxhash64 of their text."""
+    return _matching(docs, gone.select("_key", "_hash"), key, text, "left_anti")
+
+
+def _matching(docs: DataFrame, named: DataFrame, key: str, text: str, how: str) -> DataFrame:
+    side = F.broadcast(named) if named.count() <= MAX_BROADCAST else named
+    return docs.join(side, docs[key].eqNullSafe(named["_key"]) & F.xxhash64(docs[text]).eqNullSafe(named["_hash"]), how)

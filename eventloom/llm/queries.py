@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import bpe, decontaminate, langid, minhash, secrets, token_counts
-from eventloom.llm.common import held_out, ship, table
+from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,13 +35,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 @query
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole document encoded by the pair occurrence index and decoded again."""
-    return bpe.round_trip(table(spark, folder, "documents"), tokenizer_path()).drop("decoded")
+    return bpe.round_trip(table(spark, folder, "documents"), tokenizer_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 @query
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-copy groups of all documents."""
-    return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+    return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_hash", "group_id")
 
 
 ORACLES["op5_near_duplicates"] = f"""
@@ -103,7 +103,7 @@ ORACLES["op8_benchmark_leaks"] = leak_sql()
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Exact totals and truncated totals of encoded lengths, for every length as a context limit."""
-    histo = token_counts.histogram(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+    histo = stored(token_counts.histogram(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.tiktoken")), "lengths")
     return token_counts.suffix_sums(histo)
 
 
