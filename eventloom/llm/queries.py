@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, langid, minhash, secrets, token_counts
+from eventloom.llm import bpe, decontaminate, embedding_dedup, langid, minhash, secrets, token_counts
 from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,27 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+ORACLES["op2_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND list_inner_product(embedding, embedding) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole document encoded by the pair occurrence index and decoded again."""
