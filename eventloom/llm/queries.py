@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, embedding_dedup, langid, minhash, secrets, token_counts
+from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, secrets, token_counts, toxicity
 from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,15 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the last model of the chain finds toxic, with the probabilities of the chain."""
+    docs = table(spark, folder, "documents")
+    found = toxicity.scored(docs, toxicity.learned(docs, table(spark, folder, "labels")))
+    found = found.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+    return found.where("toxic").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_insult", "p_contempt", "p_toxic", "toxic")
+
+
 @query
 def op2_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of all embeddings."""
@@ -59,6 +68,15 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document by its nearest labelled documents; learned on the training folds."""
+    docs = table(spark, folder, "documents")
+    found = quality.scored(docs, quality.learned(docs, table(spark, folder, "labels")))
+    predicted = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-copy groups of all documents."""
@@ -83,6 +101,30 @@ FROM documents d JOIN sets s USING (doc_id) JOIN (SELECT doc_id, min(other) AS c
 """
 
 
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations that are no logged prefix of a longer one, rendered."""
+    return chat.formatted(table(spark, folder, "conversations"))
+
+
+ORACLES["op6_chat_format"] = f"""
+WITH r AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+said AS (
+  SELECT conv_id, turn, string_agg(concat('<', coalesce('r' || role, 'n'), '><', coalesce('t' || text, 'n'), '>'), '|' ORDER BY role NULLS FIRST, text NULLS FIRST) AS s
+  FROM r GROUP BY conv_id, turn
+), prefixes AS (
+  SELECT conv_id, turn, md5(string_agg(concat(turn, ':', s), chr(30)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST)) AS h,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST) = 1 AS last FROM said
+), kept AS (
+  SELECT min(conv_id) AS conv_id, count(*) AS copies FROM prefixes
+  WHERE last AND h NOT IN (SELECT h FROM prefixes WHERE NOT last) GROUP BY h
+)
+SELECT conv_id, CAST(floor(coalesce(turn, 0) / {chat.BLOCK}) AS BIGINT) AS part, copies, count(*) AS n_turns,
+  string_agg(concat('<|', role, '|>', chr(10), text, chr(10), '<|end|>', chr(10)), '' ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS chat
+FROM kept JOIN r USING (conv_id) GROUP BY ALL
+"""
+
+
 @query
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document by its smallest compressed size; learned on the training folds."""
