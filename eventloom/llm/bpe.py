@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import numbered
+
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -244,4 +246,4 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", carry: tuple[str,
                 names=[*carry, *[f"{prefix}{o}" for o in outputs]],
             )
 
-    return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)
+    return numbered(docs, text, carry).mapInArrow(run, out)

@@ -43,6 +43,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(where)
 
 
+def numbered(docs: DataFrame, text: str, carry: tuple[str, ...]) -> DataFrame:
+    """The text as ``_text``, then the carried columns under numbers, so that no names can clash."""
+    return docs.select(F.col(text).alias("_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(carry)])
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that training never sees; a NULL id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))

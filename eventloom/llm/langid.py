@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import held_out
+from eventloom.llm.common import held_out, numbered
 
 UNKNOWN = "und"
 CHUNK = 1024  # bytes compressed at a time; short, so that a text does not become its own dictionary
@@ -126,7 +126,7 @@ def identify(docs: DataFrame, languages: Languages, text: str = "text", carry: t
                 names=[*carry, *names],
             )
 
-    return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)
+    return numbered(docs, text, carry).mapInArrow(run, out)
 
 
 def learned(docs: DataFrame, train: Column | None = None) -> Languages:

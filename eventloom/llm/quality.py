@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import held_out
+from eventloom.llm.common import held_out, numbered
 
 WORDS, SHAPES, PAIRS = 2048, 512, 1536  # hashed terms per kind
 REPEATS = 3  # a word like the one before, a line seen before, a word seen before
@@ -170,4 +170,4 @@ def scored(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",),
                 scores = shared.value.scores(rows)
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(1, batch.num_columns)] + [pa.array(scores, pa.float64())], names=[*carry, f"{prefix}score"])
 
-    return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)
+    return numbered(docs, text, carry).mapInArrow(run, out)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import held_out
+from eventloom.llm.common import held_out, numbered
 
 # Seed words that split the labelled toxic documents into categories.
 SEEDS = {
@@ -205,4 +205,4 @@ def scored(docs: DataFrame, chain: Chain, carry: tuple[str, ...] = ("doc_id",),
             p = chain.probabilities(logits)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(1, batch.num_columns)] + [pa.array(p[:, c], pa.float64()) for c in range(len(CATEGORIES))], names=[*carry, *names])
 
-    return docs.select(F.col(text).alias("_text"), *[F.col(c) for c in carry]).mapInArrow(run, out)
+    return numbered(docs, text, carry).mapInArrow(run, out)
