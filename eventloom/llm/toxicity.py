@@ -29,8 +29,8 @@ FOLDS = 5
 TERMS = 200  # words and word beginnings a model may use
 BEGINNINGS = (4, 5)  # letters; they find inflected and compound words
 LEAST_DOCS = 8  # documents of the sample a word must occur in
-PENALTY = 1.0
-THRESHOLD = 0.5
+PENALTY = 0.2
+THRESHOLD = 0.35
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 300_000
 
