@@ -13,12 +13,33 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k] == right[k] for k in keys])
 
 
+# Columns that say when a row was processed, not what it says.
+STAMPS = ("processed_at", "last_updated")
+
+
 def has_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    """Neither NULL nor blank: such rows cannot be told apart by their key."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() & (F.col(k).cast("string") != "") for k in keys])
+
+
+def missing_copies(have: DataFrame, want: DataFrame) -> DataFrame:
+    """The rows of ``want`` that ``have`` lacks, counted per copy, by content without the stamps.
+
+    Rows without a key are matched like this: a replay adds nothing, and equal rows that were
+    delivered twice in one batch stay two.  Copies are counted, so many of one kind are no hot group.
+    """
+    names = sorted(c for c in want.columns if c not in STAMPS)
+    flagged = [x for c in names for x in (F.col(c).isNull(), F.col(c))]
+    content = {f"_content{seed}": F.xxhash64(F.lit(seed), *flagged) for seed in (1, 2)}
+    there = have.withColumns(content).groupBy(*content).agg(F.count("*").alias("_have"))
+    here = want.withColumns(content).groupBy(*content).agg(F.count("*").alias("_want"), F.first(F.struct(*want.columns)).alias("_row"))
+    extra = (F.col("_want") - F.coalesce("_have", F.lit(0))).cast("int")
+    lacking = here.join(there, list(content), "left").where(extra > 0)
+    return lacking.select(F.explode(F.array_repeat("_row", extra)).alias("_row")).select("_row.*")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
-    """One row per key: the newest one.  Rows whose key has a NULL match nothing and are all kept.
+    """One row per key: the newest one.  Rows whose key has a NULL or blank part are all kept.
 
     The ``= 1`` filter becomes a WindowGroupLimit below the exchange, so a key with very many
     copies sends one row per map task, not all of them.

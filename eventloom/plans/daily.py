@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from eventloom.plans import curated, incremental, mart, staging
 from eventloom.plans.assertions import check_models
 from eventloom.plans.views import dag_quality_check
 from eventloom.sources.catalog import TABLES
-from eventloom.sources.lake import Lake, dates_of, newer_than, newer_users
+from eventloom.sources.lake import Lake, dates_of, newer_users, on_dates
 
 ALL_CHECKS = ("unique_combination", "not_null_proportion", "accepted_values", "expression_is_true")
 
@@ -22,18 +22,18 @@ class GateFailed(RuntimeError):
     """A layer broke assertions that the run enforces."""
 
 
-def gate(
-    lake: Lake, names: Collection[str], as_of: AsOf, enforce: Collection[str], since: dt.date | None = None
-) -> None:
+def gate(lake: Lake, names: Collection[str], as_of: AsOf, enforce: Collection[str], since: dt.date | None = None) -> None:
     """Raise when a table breaks its assertions.
 
-    A table in date partitions is checked from ``since`` on only: older days passed before, and
-    scanning all history every day would cost more than the models.
+    A table in date partitions is checked from ``since`` on, and where there is no date: older days
+    passed before, and scanning all history every day would cost more than the models.
     """
 
     def checked(name: str) -> DataFrame:
         df, table = lake.read(name), TABLES[name]
-        return df if since is None or not table.needs_filter else df.where(F.col(table.date_col) >= F.lit(since))
+        if since is None or not table.needs_filter:
+            return df
+        return df.where((F.col(table.date_col) >= F.lit(since)) | F.col(table.date_col).isNull())
 
     found = check_models({n: checked(n) for n in names}, as_of)
     rows = found.where("NOT passed").where(F.col("check_type").isin(*enforce)).collect()  # one per assertion
@@ -41,11 +41,14 @@ def gate(
         raise GateFailed("; ".join(f"{r.model} {r.check_type} [{r.target}]: {r.failed_rows}" for r in rows))
 
 
-def _stage_events(lake: Lake, as_of: AsOf, lookback_days: int, search_back_days: int | None) -> dt.date | None:
-    mark = lake.watermark("stg_events")
-    fresh = newer_than(lake.read("events"), "event_date", mark, lookback_days)
-    lake.upsert("stg_events", staging.stg_events(fresh, as_of), search_back_days)
-    return mark and mark - dt.timedelta(days=lookback_days)
+def _stage_events(lake: Lake, as_of: AsOf, search_back_days: int | None) -> None:
+    """Stage the raw days that changed, whatever their date: late rows, corrections, rows without one."""
+    days = lake.pending("stg_events")
+    if days is None or days:
+        raw = lake.read("events")
+        fresh = raw if days is None else raw.where(on_dates("event_date", days))
+        lake.upsert("stg_events", staging.stg_events(fresh, as_of), search_back_days)
+        lake.settle("stg_events", days)
 
 
 def _stage_users(lake: Lake, as_of: AsOf) -> None:
@@ -54,61 +57,136 @@ def _stage_users(lake: Lake, as_of: AsOf) -> None:
     lake.upsert("stg_users", staging.stg_users(newer_users(lake.read("users"), mark, updated), as_of))
 
 
-def _store(lake: Lake, name: str, df: DataFrame, since: dt.date | None, live: Collection[dt.date]) -> None:
-    """Models recompute whole days, so their partitions are replaced; emptied days disappear."""
-    known = lake.partitions(name) if since and lake.exists(name) else []
-    lake.replace_dates(name, df, [d for d in known if d and d >= since and d not in live])
+def _stage_sessions(lake: Lake, as_of: AsOf) -> None:
+    days = lake.pending("stg_sessions")
+    if lake.exists("sessions") and (days is None or days):
+        raw = lake.read("sessions")
+        fresh = raw if days is None else raw.where(on_dates("session_date", days))
+        lake.upsert("stg_sessions", staging.stg_sessions(fresh, as_of))
+        lake.settle("stg_sessions", days)
+
+
+def _oldest(days: Collection[dt.date | None]) -> dt.date | None:
+    """The oldest of some first days, where None stands for all days; with nothing to do, no day."""
+    return None if None in days else min(days, default=dt.date.max)
+
+
+def _waiting(lake: Lake, *names: str) -> dt.date | None:
+    """The oldest day that some of these models have not taken over yet; None: all of them."""
+    pending = [lake.pending(n) for n in names]
+    return None if None in pending else _oldest([d for days in pending for d in days if d])
+
+
+class _Models:
+    """The models over one lake; each takes over its own pending days and settles them once stored."""
+
+    def __init__(self, lake: Lake, as_of: AsOf):
+        self.lake, self.as_of = lake, as_of
+        self.since: list[dt.date | None] = []  # first day stored anew, per model
+
+    def refresh(self, name: str, full: Callable[[], DataFrame], part: Callable[[set], tuple[DataFrame, set, set]]) -> None:
+        """``part`` gives the new rows, the days that may be stored anew, and those of them that still have rows."""
+        lake, days = self.lake, self.lake.pending(name)
+        dated = None if days is None else {d for d in days if d}  # a row without a date is in no model
+        if dated is None:
+            lake.replace(name, full())
+            self.since.append(None)
+        elif dated:
+            df, scope, live = part(dated)
+            lake.replace_dates(name, df, [d for d in lake.partitions(name) if d in scope and d not in live], touched=scope)
+            self.since.append(min(scope))
+        lake.settle(name, days)
+
+    def user_metrics(self) -> None:
+        lake = self.lake
+        events, users = lake.read("stg_events"), lake.read("stg_users")
+
+        def part(days: set):
+            changed = events.where(on_dates("event_date", days))
+            return curated.user_metrics(changed, users, self.as_of), days, dates_of(changed.where("is_valid"), "event_date")
+
+        self.refresh("user_metrics", lambda: curated.user_metrics(events, users, self.as_of), part)
+
+    def event_metrics(self) -> None:
+        lake = self.lake
+        events = lake.read("stg_events")
+
+        def part(days: set):
+            stored = lake.read("event_metrics")  # one row per type and day
+            changed = events.where(on_dates("event_date", days))
+            live = dates_of(changed.where("is_valid"), "event_date")
+            since = min(days)
+            scope = days | {d for d in lake.partitions("event_metrics") if d and d >= since}
+            return incremental.patch_event_metrics(changed, stored, days, self.as_of), scope, live | (scope - days)
+
+        self.refresh("event_metrics", lambda: curated.event_metrics(events, self.as_of), part)
+
+    def per_user(self, name: str, full: Callable, part: Callable) -> None:
+        """Models of rolling user days: a changed day changes all later rows of its users."""
+        metrics = self.lake.read("user_metrics")
+
+        def later(days: set):
+            since = min(days)
+            live = {d for d in self.lake.partitions("user_metrics") if d and d >= since}
+            scope = days | live | {d for d in self.lake.partitions(name) if d and d >= since}
+            return part(metrics, since, self.as_of), scope, live
+
+        self.refresh(name, lambda: full(metrics, self.as_of), later)
+
+    def business_metrics(self) -> None:
+        metrics = self.lake.read("user_metrics")
+
+        def part(days: set):
+            known = [d for d in self.lake.partitions("user_metrics") if d]
+            _, emit = incremental.business_bounds(min(days), known)
+            live = {d for d in known if d >= emit}
+            scope = days | live | {d for d in self.lake.partitions("business_metrics") if d and d >= emit}
+            return incremental.slice_business_metrics(metrics, min(days), known, self.as_of), scope, live
+
+        self.refresh("business_metrics", lambda: mart.business_metrics(metrics, self.as_of), part)
 
 
 def run_models(
     lake: Lake,
     as_of: AsOf,
     enforce: Collection[str] = ALL_CHECKS,
-    lookback_days: int = 0,
     search_back_days: int | None = None,
+    training: bool = False,
+    expire_on: dt.date | None = None,
 ) -> DataFrame:
     """Bring every model up to date from the raw tables; returns yesterday's validity rows.
 
-    ``lookback_days`` re-reads days before the newest one, for late events; ``search_back_days``
-    bounds how far the upsert looks for earlier versions of the same event.
+    Every model keeps the changed days it has not taken over yet, so days of late, moved or undated
+    rows, of runs that a gate stopped and of runs that were lost are all caught up by the next run.
+    ``search_back_days`` states how far the feed lets an event move.  ``training`` also rebuilds the
+    training rows, whose labels look ahead; ``expire_on`` drops partitions past their retention.
     """
-    since = _stage_events(lake, as_of, lookback_days, search_back_days)
+    _stage_events(lake, as_of, search_back_days)
     _stage_users(lake, as_of)
-    gate(lake, ("stg_events", "stg_users"), as_of, enforce, since)
-
-    events, users = lake.read("stg_events"), lake.read("stg_users")
-    full = since is None or not lake.exists("user_metrics")
-    if full:
-        since, live = None, set()
-        by_user = curated.user_metrics(events, users, as_of)
-        by_type = curated.event_metrics(events, as_of)
-    else:
-        live = dates_of(events.where("is_valid").where(F.col("event_date") >= F.lit(since)), "event_date")
-        by_user = incremental.slice_user_metrics(events, users, since, as_of)
-        by_type = incremental.slice_event_metrics(events, lake.read("event_metrics"), since, as_of)
-    _store(lake, "user_metrics", by_user, since, live)
-    _store(lake, "event_metrics", by_type, since, live)
-
-    metrics = lake.read("user_metrics")
-    features = curated.ml_features(metrics, as_of) if full else incremental.slice_ml_features(metrics, since, as_of)
-    _store(lake, "ml_features", features, since, live)
-    gate(lake, ("user_metrics", "event_metrics", "ml_features"), as_of, enforce, since)
-
-    if full:
-        analytics, business = mart.user_analytics(metrics, as_of), mart.business_metrics(metrics, as_of)
-    else:
-        days = [d for d in lake.partitions("user_metrics") if d]
-        analytics = incremental.slice_user_analytics(metrics, since, as_of)
-        business = incremental.slice_business_metrics(metrics, since, days, as_of)
-    _store(lake, "user_analytics", analytics, since, live)
-    _store(lake, "business_metrics", business, since, live)
-    gate(lake, ("user_analytics", "business_metrics"), as_of, enforce, since)
+    _stage_sessions(lake, as_of)
+    gate(lake, ("stg_events", "stg_users"), as_of, enforce, _waiting(lake, "user_metrics", "event_metrics"))
+
+    models = _Models(lake, as_of)
+    models.user_metrics()
+    models.event_metrics()
+    models.per_user("ml_features", curated.ml_features, incremental.slice_ml_features)
+    gate(lake, ("user_metrics", "event_metrics", "ml_features"), as_of, enforce, _oldest(models.since))
+
+    models.per_user("user_analytics", mart.user_analytics, incremental.slice_user_analytics)
+    models.business_metrics()
+    gate(lake, ("user_analytics", "business_metrics"), as_of, enforce, _oldest(models.since))
+
+    events, users, metrics = lake.read("stg_events"), lake.read("stg_users"), lake.read("user_metrics")
+    if training:
+        lake.replace("ml_training", mart.ml_training(metrics, lake.read("ml_features"), events, as_of))
+    if expire_on is not None:
+        for name in TABLES:
+            if lake.exists(name):
+                lake.expire(name, expire_on)
     return dag_quality_check(events, users, as_of)
 
 
-def run_day(
-    lake: Lake, incoming: DataFrame, day: dt.date, as_of: AsOf, enforce: Collection[str] = ALL_CHECKS
-) -> DataFrame:
+def run_day(lake: Lake, incoming: DataFrame, day: dt.date, as_of: AsOf, enforce: Collection[str] = ALL_CHECKS, **options) -> DataFrame:
     """Append one day of raw events, then update every model."""
     lake.append_day("events", incoming, day)
-    return run_models(lake, as_of, enforce)
+    return run_models(lake, as_of, enforce, **options)

@@ -37,6 +37,19 @@ def slice_event_metrics(
     return curated.with_event_growth(daily, as_of).where(F.col("date") >= F.lit(since))
 
 
+def patch_event_metrics(changed: DataFrame, stored: DataFrame, days: set[dt.date], as_of: AsOf) -> DataFrame:
+    """Days from the first changed one on, from the events of the changed days and the stored rest.
+
+    Growth compares with a type's row before, so later days change with it; their own measures do not.
+    """
+    daily = curated.daily_event_type_activity(changed)
+    since = min(days)
+    own = stored.where(F.col("date") >= F.lit(since)).where(~F.col("date").isin(list(days)))
+    before = stored.where(F.col("date") < F.lit(since)).groupBy("event_type").agg(F.max_by(F.struct(*daily.columns), "date").alias("row")).select("row.*")
+    everything = daily.unionByName(own.select(*daily.columns)).unionByName(before)
+    return curated.with_event_growth(everything, as_of).where(F.col("date") >= F.lit(since))
+
+
 def _history_of_active(metrics: DataFrame, since: dt.date) -> DataFrame:
     """All days of the users active in the slice; the rolling and lifetime sums need them."""
     active = metrics.where(F.col("date") >= F.lit(since))

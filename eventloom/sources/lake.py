@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.functions.expressions import AsOf, as_of_date
-from eventloom.operators.keyed import latest_per_key, sync_columns, with_keys_of, without_keys_of
+from eventloom.operators.keyed import has_key, latest_per_key, missing_copies, sync_columns, with_keys_of, without_keys_of
 from eventloom.sources import paths
-from eventloom.sources.catalog import TABLES, Table
+from eventloom.sources.catalog import DOWNSTREAM, TABLES, Table
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -23,6 +24,13 @@ class UnboundedRead(ValueError):
     """A guarded table was read without bounds on its partition date."""
 
 
+class KeyOutOfBounds(ValueError):
+    """A key moved further than the feed guarantees."""
+
+
+Days = set  # of partition dates; the NULL date is a partition of its own
+
+
 def spread(df: DataFrame, date_col: str, cluster: Sequence[str]) -> DataFrame:
     """Lay rows out for a partitioned write.
 
@@ -73,6 +81,7 @@ class Lake:
 
     def read(self, name: str) -> DataFrame:
         """The table in its current schema; files older than a column give NULL for it."""
+        self._finish(name)
         schema = StructType.fromJson(json.loads(paths.read_text(self.spark, self._schema_path(name))))
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
 
@@ -91,6 +100,7 @@ class Lake:
 
     def partitions(self, name: str) -> list[dt.date | None]:
         """Partition dates from the directory listing, no scan."""
+        self._finish(name)
         prefix = f"{TABLES[name].date_col}="
         found = [c[len(prefix):] for c in paths.children(self.spark, self.path(name)) if c.startswith(prefix)]
         return [None if f == _NO_DATE else dt.date.fromisoformat(f) for f in found]
@@ -99,32 +109,106 @@ class Lake:
         """Newest partition date, the start of the next incremental slice."""
         return max((d for d in self.partitions(name) if d), default=None) if self.exists(name) else None
 
+    # --- pending days ------------------------------------------------------------------------
+
+    def _pending_path(self, name: str) -> str:
+        return f"{self.root}/_pending/{name}.json"
+
+    def pending(self, name: str) -> Days | None:
+        """Days of the table above that changed since ``name`` last took them over; None: every day."""
+        if not self.exists(name) or not paths.exists(self.spark, self._pending_path(name)):
+            return None
+        days = json.loads(paths.read_text(self.spark, self._pending_path(name)))
+        return None if days is None else {d and dt.date.fromisoformat(d) for d in days}
+
+    def _set_pending(self, name: str, days: Days | None) -> None:
+        text = None if days is None else sorted((d and d.isoformat() for d in days), key=str)
+        paths.write_text(self.spark, self._pending_path(name), json.dumps(text))
+
+    def _mark(self, name: str, touched: Days | None) -> None:
+        """Before a table changes, its changing days become pending below it, so no crash can lose them."""
+        for below in DOWNSTREAM.get(name, ()):
+            known = self.pending(below)
+            self._set_pending(below, None if touched is None or known is None else known | touched)
+
+    def settle(self, name: str, days: Days | None) -> None:
+        """``name`` has taken these days over."""
+        known = self.pending(name)
+        self._set_pending(name, set() if days is None or known is None else known - days)
+
     # --- writing ---------------------------------------------------------------------------
 
-    def _remember(self, name: str, df: DataFrame) -> None:
+    def _journal_path(self, name: str) -> str:
+        return f"{self.root}/_journal/{name}.json"
+
+    def _commit(self, name: str, df: DataFrame, gone: Iterable[dt.date | None] = (), touched: Days | None = None, full: bool = False) -> None:
+        """Swap in the partitions of ``df`` and drop those in ``gone`` (all others, with ``full``).
+
+        The new partitions are written beside the table, then a journal says what is to be swapped.
+        A job lost before the journal leaves the table as it was; one lost after it is finished by
+        the next access.  Readers may see some partitions new and some old while the swap runs.
+        """
+        table = TABLES[name]
+        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
+        write_table(df, staged, table.date_col, table.cluster)
+        prefix = f"{table.date_col}="
+        new = [c for c in paths.children(self.spark, staged) if c.startswith(prefix)]
+        old = [c for c in paths.children(self.spark, self.path(name)) if c.startswith(prefix)]
+        dropped = [c for c in old if c not in new] if full else [f"{prefix}{_NO_DATE if d is None else d}" for d in gone]
         nullable = StructType([type(f)(f.name, f.dataType, True) for f in df.schema])
-        paths.write_text(self.spark, self._schema_path(name), nullable.json())
+        self._mark(name, touched)
+        journal = {"staged": staged, "new": new, "dropped": [c for c in dropped if c not in new], "schema": nullable.json()}
+        paths.write_text(self.spark, self._journal_path(name), json.dumps(journal))
+        self._finish(name)
+
+    def _finish(self, name: str) -> None:
+        """Carry out what the journal of the table says; every step can be repeated."""
+        if not paths.exists(self.spark, self._journal_path(name)):
+            return
+        journal = json.loads(paths.read_text(self.spark, self._journal_path(name)))
+        paths.make(self.spark, self.path(name))
+        for child in journal["new"]:
+            paths.replace(self.spark, f"{journal['staged']}/{child}", f"{self.path(name)}/{child}")
+        for child in journal["dropped"]:
+            paths.remove(self.spark, f"{self.path(name)}/{child}")
+        paths.write_text(self.spark, self._schema_path(name), journal["schema"])
+        paths.remove(self.spark, self._journal_path(name))
+        paths.remove(self.spark, journal["staged"])
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Full load: the table becomes exactly ``df``."""
-        table = TABLES[name]
-        write_table(df, self.path(name), table.date_col, table.cluster)
-        self._remember(name, df)
+        self._commit(name, df, full=True)
 
-    def replace_dates(self, name: str, df: DataFrame, gone: Iterable[dt.date | None] = ()) -> None:
+    def replace_dates(self, name: str, df: DataFrame, gone: Iterable[dt.date | None] = (), touched: Days | None = None) -> None:
         """The partitions that occur in ``df`` become exactly ``df``, those in ``gone`` disappear.
 
         For models that recompute whole days: one write, no read of the table, safe to repeat.
+        ``touched`` names the days that may have changed; unless given, every day counts as changed.
+        A column that changes its type is changed in all other partitions too.
         """
         table = TABLES[name]
-        write_table(df, self.path(name), table.date_col, table.cluster, only_dates_present=True)
-        self._remember(name, df)
-        self._drop_partitions(name, gone)
+        if self.exists(name) and self._retyped(name, df):
+            current = self.read(name)
+            mine = dates_of(df, table.date_col) | set(gone)
+            rest = [d for d in self.partitions(name) if d not in mine]
+            df = df.unionByName(sync_columns(current.where(on_dates(table.date_col, rest)), df))
+        self._commit(name, df, gone, touched)
+
+    def _retyped(self, name: str, df: DataFrame) -> bool:
+        """Whether a column of the stored table has another type in ``df``: files cannot be mixed then."""
+        types = dict(df.dtypes)
+        return any(types.get(c, t) != t for c, t in self.read(name).dtypes)
 
     def append_day(self, name: str, staged: DataFrame, day: dt.date) -> None:
-        """Load one day into a table.  A repeated run replaces the day instead of doubling it."""
-        table = TABLES[name]
-        self.replace_dates(name, staged.where(F.col(table.date_col) == F.lit(day)))
+        """Load one day into a table.  A repeated run replaces the day instead of doubling it.
+
+        Rows without a date belong to no day; they are upserted, so that they are loaded once too.
+        """
+        date_col = TABLES[name].date_col
+        self.replace_dates(name, staged.where(F.col(date_col) == F.lit(day)), touched={day})
+        undated = staged.where(F.col(date_col).isNull())
+        if not undated.isEmpty():
+            self.upsert(name, undated)
 
     def materialise(self, df: DataFrame, label: str) -> DataFrame:
         """Write to the shared scratch folder and read back: a lineage cut that survives lost executors."""
@@ -132,49 +216,83 @@ class Lake:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def upsert(self, name: str, batch: DataFrame, search_back_days: int | None = None) -> None:
+    def upsert(self, name: str, batch: DataFrame, search_back_days: int | None = None) -> Days:
         """Replace rows with the batch's keys, add the others, adopt the batch's columns.
 
-        A key may have moved from any older partition, so by default the key column of the whole
-        table is searched.  Where the feed guarantees that keys move at most some days, say so with
-        ``search_back_days``: older partitions are then not even listed in the scan.
+        Returns the days that gained or lost rows; only their partitions are rewritten (all, when a
+        column changes its type).  A key may have moved from any older partition, so the key column of
+        the whole table is searched.  ``search_back_days`` states how far the feed lets keys move;
+        a key that moved further raises KeyOutOfBounds before anything is written.
 
-        Only partitions that gain or lose rows are rewritten.  New files are staged by the dynamic
-        overwrite and moved in at commit, so a failed job leaves the table as it was.
+        Rows whose key is NULL or blank are matched by content and counted: a replay adds none.  A
+        version that arrived before the stored one does not replace it.
         """
         table: Table = TABLES[name]
         batch = latest_per_key(batch, table.keys, table.newest_first)
         if not self.exists(name):
             self.replace(name, batch)
-            return
-        batch = self.materialise(batch, f"upsert-{name}")  # used several times below
-        target = sync_columns(self.read(name), batch)
-        gaining = dates_of(batch, table.date_col)
-        losing: set = set()
-        if not table.key_fixes_date:
-            # Only the key and the partition column of the target are read here.
-            searched = target.select(*table.keys, table.date_col)
-            first = min((d for d in gaining if d), default=None)
-            if search_back_days is not None and first is not None:
-                oldest = F.lit(first - dt.timedelta(days=search_back_days))
-                searched = searched.where((F.col(table.date_col) >= oldest) | F.col(table.date_col).isNull())
-            losing = dates_of(with_keys_of(searched, batch, table.keys), table.date_col)
-        touched = gaining | losing
-        kept = without_keys_of(target.where(on_dates(table.date_col, touched)), batch, table.keys)
-        emptied = losing - gaining
-        if emptied:
-            emptied -= dates_of(kept.where(on_dates(table.date_col, emptied)), table.date_col)
-        merged = kept.unionByName(batch)
-        write_table(merged, self.path(name), table.date_col, table.cluster, only_dates_present=True)
-        self._remember(name, batch)
-        self._drop_partitions(name, emptied)
+            return set(self.partitions(name))
+        aside: list[str] = []
+
+        def keep(df: DataFrame, label: str) -> DataFrame:  # used several times below
+            aside.append(paths.scratch_dir(self.spark, f"upsert-{name}-{label}"))
+            df.write.parquet(aside[-1])
+            return self.spark.read.schema(df.schema).parquet(aside[-1])
+
+        try:
+            batch = keep(batch, "batch")
+            keyed, loose = batch.where(has_key(table.keys)), batch.where(~has_key(table.keys))
+            current = self.read(name)
+            target = sync_columns(current, batch)
+            losing: Days = set()
+            if not table.key_fixes_date:
+                # Only the key, the arrival and the partition column of the target are read here.
+                arrival = [c for c in (table.arrival,) if c in target.columns]
+                found = keep(with_keys_of(target.select(*table.keys, table.date_col, *arrival), keyed, table.keys), "found")
+                if search_back_days is not None:
+                    self._check_bound(name, keyed, found, search_back_days)
+                if arrival:
+                    arrived = keyed.select(*table.keys, F.col(arrival[0]).alias("_arrived"))
+                    older = found.join(arrived, list(table.keys)).where(F.col(arrival[0]) > F.col("_arrived")).select(*table.keys).distinct()
+                    if not older.isEmpty():
+                        older = keep(older, "older")
+                        keyed, found = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys)
+                losing = dates_of(found, table.date_col)
+            loose = keep(self._lacking(target, loose, table), "loose")
+            gaining = dates_of(keyed, table.date_col) | dates_of(loose, table.date_col)
+            touched = gaining | losing
+            rewritten = touched | set(self.partitions(name)) if self._retyped(name, batch) else touched
+            kept = without_keys_of(target.where(on_dates(table.date_col, rewritten)), keyed, table.keys)
+            emptied = losing - gaining
+            if emptied:
+                emptied -= dates_of(kept.where(on_dates(table.date_col, emptied)), table.date_col)
+            self._commit(name, kept.unionByName(keyed).unionByName(loose), emptied, touched)
+        finally:
+            for path in aside:
+                paths.remove(self.spark, path)
+        return touched
+
+    def _lacking(self, target: DataFrame, loose: DataFrame, table: Table) -> DataFrame:
+        """Key-less rows that the table does not have yet; equal content means the same partition."""
+        days = dates_of(loose, table.date_col)
+        if not days:
+            return loose
+        return missing_copies(target.where(on_dates(table.date_col, days)).where(~has_key(table.keys)), loose).select(loose.columns)
+
+    def _check_bound(self, name: str, keyed: DataFrame, found: DataFrame, days: int) -> None:
+        table = TABLES[name]
+        new = keyed.select(*table.keys, F.col(table.date_col).alias("_new"))
+        beyond = found.join(new, list(table.keys)).where(F.abs(F.date_diff("_new", table.date_col)) > days)
+        n = beyond.count()
+        if n:
+            raise KeyOutOfBounds(f"{name}: {n} keys moved by more than {days} days")
 
     def _drop_partitions(self, name: str, dates: Iterable[dt.date | None]) -> None:
         for d in dates:
             paths.remove(self.spark, f"{self.path(name)}/{TABLES[name].date_col}={_NO_DATE if d is None else d}")
 
     def expire(self, name: str, as_of: dt.date) -> list[dt.date]:
-        """Drop partitions past the table's retention; returns them."""
+        """Drop partitions past the table's retention; returns them.  Rows without a date stay."""
         oldest = as_of - dt.timedelta(days=TABLES[name].retention_days)
         expired = [d for d in self.partitions(name) if d and d < oldest]
         self._drop_partitions(name, expired)
@@ -182,15 +300,16 @@ class Lake:
 
 
 def retain(df: DataFrame, date_col: str, days: int, as_of: AsOf) -> DataFrame:
-    """Rows still inside the retention period."""
-    return df.where(F.col(date_col) >= F.date_sub(as_of_date(as_of), days))
+    """Rows still inside the retention period; rows without a date have no age and stay."""
+    return df.where((F.col(date_col) >= F.date_sub(as_of_date(as_of), days)) | F.col(date_col).isNull())
 
 
 def newer_than(df: DataFrame, date_col: str, watermark: dt.date | None, lookback_days: int = 0) -> DataFrame:
-    """Incremental slice.  The watermark is a literal, so it prunes partitions."""
+    """Incremental slice, with all rows that have no date.  The watermark is a literal, so it prunes partitions."""
     if watermark is None:
         return df
-    return df.where(F.col(date_col) >= F.lit(watermark - dt.timedelta(days=lookback_days)))
+    newer = F.col(date_col) >= F.lit(watermark - dt.timedelta(days=lookback_days))
+    return df.where(newer | F.col(date_col).isNull())
 
 
 def newer_users(df: DataFrame, watermark: dt.date | None, last_update: dt.datetime | None) -> DataFrame:

@@ -30,6 +30,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to the place of another one; nothing to do when it was moved before."""
+    fs, here = _fs(spark, source)
+    _, there = _fs(spark, target)
+    if not fs.exists(here):
+        return
+    fs.delete(there, True)
+    fs.mkdirs(there.getParent())
+    if not fs.rename(here, there):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def make(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.mkdirs(where)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, where = _fs(spark, path)
     out = fs.create(where, True)

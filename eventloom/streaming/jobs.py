@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,22 +18,24 @@ def stage_into(
     lake: Lake,
     raw: DataFrame,
     checkpoint: str,
-    as_of: AsOf,
+    as_of: AsOf | None = None,
     name: str = "stg_events",
     search_back_days: int | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Stage a raw event stream; every micro-batch is upserted, so a replayed batch changes nothing."""
+    """Stage a raw event stream; every micro-batch is upserted, so a replayed batch changes nothing.
+
+    Without ``as_of`` each batch is stamped with the time it is processed.  ``trigger`` is what
+    ``DataStreamWriter.trigger`` takes, such as {"processingTime": "1 minute"}; by default
+    everything available is staged and the query ends.
+    """
 
     def land(batch: DataFrame, _: int) -> None:
-        lake.upsert(name, batch, search_back_days)
+        now = as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        lake.upsert(name, stg_events(batch, now), search_back_days)
 
-    return (
-        stg_events(raw, as_of)
-        .writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = raw.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def deduplicated(events: DataFrame, delay: str = "1 hour") -> DataFrame:

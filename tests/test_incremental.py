@@ -57,6 +57,65 @@ def test_rerun_changes_nothing(spark, lake):
     assert {n: settled(lake.read(n)) for n in MODELS} == before
 
 
+def full_refresh(events, people):
+    metrics = curated.user_metrics(events, people, AS_OF)
+    return {
+        "stg_events": events,
+        "user_metrics": metrics,
+        "event_metrics": curated.event_metrics(events, AS_OF),
+        "ml_features": curated.ml_features(metrics, AS_OF),
+        "user_analytics": mart.user_analytics(metrics, AS_OF),
+        "business_metrics": mart.business_metrics(metrics, AS_OF),
+    }
+
+
+def test_late_moved_and_undated_rows_and_stopped_runs_end_as_a_full_refresh(spark, lake):
+    raw, users = star.raw_events(spark, SF).where("event_date BETWEEN DATE'2024-01-18' AND DATE'2024-01-26'"), star.raw_users(spark, SF)
+    number = F.col("event_id").cast("long")
+    undated = number % 23 == 5
+    raw = raw.withColumns({"event_timestamp": F.when(~undated, F.col("event_timestamp")), "event_date": F.when(~undated, F.col("event_date"))})
+    raw = raw.withColumn("event_id", F.when(number % 29 != 3, F.col("event_id"))).cache()
+    late = raw.where("event_date = DATE'2024-01-20' AND user_id IN ('1', '2', '3')")
+    later = F.col("event_timestamp") + F.expr("INTERVAL 3 DAY")
+    moved = raw.where("event_date = DATE'2024-01-21' AND user_id < '5' AND event_id IS NOT NULL").withColumns(
+        {"event_timestamp": later, "event_date": F.to_date(later), "created_at": F.col("created_at") + F.expr("INTERVAL 9 DAY")}
+    )
+    lake.replace("users", users)
+    lake.replace("events", raw.where("event_date < DATE'2024-01-25'").exceptAll(late))
+    daily.run_models(lake, AS_OF, enforce=())
+    for day in (dt.date(2024, 1, 25), dt.date(2024, 1, 26)):
+        with pytest.raises(daily.GateFailed):  # the source's own type names are not accepted
+            daily.run_day(lake, raw, day, AS_OF)
+    lake.upsert("events", late)
+    lake.upsert("events", moved)
+    lake.upsert("events", late)
+    daily.run_models(lake, AS_OF, enforce=())
+
+    gone = moved.select("event_id")
+    final = raw.where(F.col("event_id").isNull()).unionByName(raw.join(gone, "event_id", "left_anti").where("event_id IS NOT NULL")).unionByName(moved)
+    full = full_refresh(staging.stg_events(final, AS_OF), staging.stg_users(users, AS_OF))
+    for name, df in full.items():
+        assert settled(lake.read(name)) == settled(df), name
+    assert dt.date(2024, 1, 25) in lake.partitions("user_metrics")
+
+
+def test_crash_between_models_is_caught_up(spark, lake, monkeypatch):
+    raw, users = star.raw_events(spark, SF).where("event_date >= DATE'2024-01-25'"), star.raw_users(spark, SF)
+    lake.replace("users", users)
+    lake.replace("events", raw.where("event_date < DATE'2024-01-28'"))
+    daily.run_models(lake, AS_OF, enforce=())
+    features = incremental.slice_ml_features
+    monkeypatch.setattr(incremental, "slice_ml_features", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run_day(lake, raw, dt.date(2024, 1, 28), AS_OF, enforce=())
+    monkeypatch.setattr(incremental, "slice_ml_features", features)
+    daily.run_day(lake, raw, dt.date(2024, 1, 29), AS_OF, enforce=(), training=True, expire_on=dt.date(2024, 1, 31))
+    final = raw.where("event_date <= DATE'2024-01-29'")
+    for name, df in full_refresh(staging.stg_events(final, AS_OF), staging.stg_users(users, AS_OF)).items():
+        assert settled(lake.read(name)) == settled(df), name
+    assert lake.read("ml_training").count() == lake.read("ml_features").count()
+
+
 def test_gate_stops_the_run(spark, lake):
     lake.replace("users", star.raw_users(spark, SF))
     lake.replace("events", star.raw_events(spark, SF))

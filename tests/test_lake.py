@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.keyed import latest_per_key, sync_columns
-from eventloom.sources.lake import UnboundedRead, retain
+from eventloom.sources import paths
+from eventloom.sources.lake import KeyOutOfBounds, UnboundedRead, retain
 from tests.conftest import make_events, rows_of
 
 
@@ -114,6 +115,7 @@ def test_expired_partitions_are_dropped(spark, lake):
     assert stored(lake) == [("b", D2, "y")]
     kept = retain(events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x")), "event_date", 30, "2024-01-31")
     assert kept.count() == 1
+    assert retain(events_on(spark, ("a", "click", None, "x")), "event_date", 30, "2024-01-31").count() == 1
 
 
 def test_emptied_day_disappears_from_models(spark, lake):
@@ -128,11 +130,73 @@ def test_watermark_comes_from_the_listing(spark, lake):
     assert lake.watermark("events") == D1
 
 
-def test_bounded_key_search(spark, lake):
+def test_keys_that_move_too_far_stop_the_upsert(spark, lake):
     lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "old"), ("b", "click", "2024-01-02 10:00:00", "old")))
-    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-03 10:00:00", "new"), ("b", "click", "2024-01-03 10:00:00", "new")), 1)
-    # b moved one day and is found; a moved two days, which the caller excluded
-    assert stored(lake) == [("a", D1, "old"), ("a", D3, "new"), ("b", D3, "new")]
+    before = stored(lake)
+    moved = events_on(spark, ("a", "click", "2024-01-03 10:00:00", "new"), ("b", "click", "2024-01-03 10:00:00", "new"))
+    with pytest.raises(KeyOutOfBounds, match="1 keys"):
+        lake.upsert("events", moved, 1)
+    assert stored(lake) == before
+    assert lake.upsert("events", moved, 2) == {D1, D2, D3}
+    assert stored(lake) == [("a", D3, "new"), ("b", D3, "new")]
+
+
+def test_rows_without_a_key_are_counted_by_content(spark, lake):
+    rows = events_on(
+        spark, (None, "click", "2024-01-01 10:00:00", "x"), (None, "click", "2024-01-01 10:00:00", "x"), ("", "click", "2024-01-01 10:00:00", "y"),
+        ("", "click", "2024-01-01 11:00:00", "z"), (None, "click", None, "w"), ("a", "click", None, "v"),
+    )
+    for _ in range(3):
+        lake.upsert("events", rows)
+        assert sorted(stored(lake), key=str) == sorted([("", D1, "y"), ("", D1, "z"), ("a", None, "v"), (None, D1, "x"), (None, D1, "x"), (None, None, "w")], key=str)
+    lake.upsert("events", rows.unionByName(rows))  # the same content more often is more rows
+    assert len(stored(lake)) == 11
+
+
+def test_version_that_arrived_earlier_does_not_win(spark, lake):
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-03 10:00:00", "new")))
+    assert lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "old"))) == set()
+    assert stored(lake) == [("a", D3, "new")]
+
+
+def test_lost_swap_is_finished_by_the_next_access(spark, lake, monkeypatch):
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "old"), ("b", "click", "2024-01-02 10:00:00", "old")))
+    move, moved = paths.replace, []
+
+    def lost(spark, source, target):
+        if moved:
+            raise RuntimeError("driver lost")
+        moved.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(paths, "replace", lost)
+    with pytest.raises(RuntimeError):
+        lake.upsert("events", events_on(spark, ("a", "click", "2024-01-02 10:00:00", "new"), ("c", "click", "2024-01-03 10:00:00", "new")))
+    monkeypatch.setattr(paths, "replace", move)
+    assert stored(lake) == [("a", D2, "new"), ("b", D2, "old"), ("c", D3, "new")]
+
+
+def test_retyped_column_is_changed_in_all_partitions(spark, lake):
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "1"), ("b", "click", "2024-01-02 10:00:00", "2")).withColumn("n", F.lit(1).cast("long")))
+    lake.upsert("events", events_on(spark, ("c", "click", "2024-01-03 10:00:00", "3")).withColumn("n", F.lit("x")))
+    assert rows_of(lake.read("events"), "event_id", "n") == [("a", "1"), ("b", "1"), ("c", "x")]
+
+
+def test_nothing_is_left_in_scratch(spark, lake):
+    import os
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    for text in ("x", "y"):
+        lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", text)))
+    assert set(os.listdir(shared)) == before and not os.listdir(f"{lake.root}/_staged")
+
+
+def test_append_day_loads_rows_without_a_date(spark, lake):
+    rows = events_on(spark, ("a", "click", None, "x"), ("b", "click", "2024-01-02 10:00:00", "y"), (None, "click", None, "z"))
+    for _ in range(2):
+        lake.append_day("events", rows, D2)
+    assert stored(lake) == [("a", None, "x"), ("b", D2, "y"), (None, None, "z")]
 
 
 def test_scratch_lives_in_the_shared_folder(spark):
