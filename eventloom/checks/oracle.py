@@ -365,6 +365,18 @@ def statement(body: str, *blocks: str, **local: str) -> str:
     return exact(f"WITH {', '.join(parts)}\n{body}")
 
 
+def over(raw: str, body: str, *blocks: str) -> str:
+    """Like ``statement``, with the raw events replaced by a query over them (``given``)."""
+    parts = [f"given AS ({CTES['raw_events']})", f"raw_events AS ({raw})"]
+    parts += [f"{n} AS ({CTES[n]})" for n in _order(list(blocks), []) if n != "raw_events"]
+    return exact(f"WITH {', '.join(parts)}\n{body}")
+
+
+_TIMED = "event_id::BIGINT % 101 <> 7"
+GAPS = f"""SELECT * REPLACE (CASE WHEN {_TIMED} THEN event_timestamp END AS event_timestamp, CASE WHEN {_TIMED} THEN event_date END AS event_date,
+  CASE WHEN event_id::BIGINT % 107 = 11 THEN '' WHEN event_id::BIGINT % 103 <> 9 THEN event_id END AS event_id) FROM given"""
+
+
 def rounded(source: str, *doubles: str, without: str = "") -> str:
     fixes = ", ".join(f"round({d}, 6) AS {d}" for d in doubles)
     drop = f" EXCLUDE ({without})" if without else ""
@@ -375,18 +387,38 @@ _DAY = f"{TODAY} - 1"
 O: dict[str, str] = {}
 
 # --- sources, sinks, maintenance
-for _name in ("src_events", "write_clustered", "csv_roundtrip", "json_roundtrip", "append_day"):
+for _name in ("src_events", "write_clustered", "csv_roundtrip", "json_roundtrip"):
     O[_name] = statement("SELECT * FROM raw_events", "raw_events")
+O["append_day"] = over(GAPS, "SELECT * FROM raw_events")
 O["src_users"] = O["load_replace"] = statement("SELECT * FROM raw_users", "raw_users")
 O["src_sessions"] = O["sessions_from_events"] = statement("SELECT * FROM ses", "ses")
-O["upsert_events"] = statement(
-    """SELECT * FROM raw_events WHERE event_date < DATE '2024-01-25'
+_MOVED = """event_timestamp + INTERVAL 1 DAY AS event_timestamp, event_date + 1 AS event_date"""
+O["upsert_events"] = over(GAPS, f"""SELECT * FROM raw_events WHERE coalesce(event_date < DATE '2024-01-25', TRUE) OR coalesce(event_id, '') = ''
 UNION ALL
-SELECT * REPLACE (event_timestamp + INTERVAL 1 DAY AS event_timestamp, event_date + 1 AS event_date, '2.0.0' AS app_version)
-FROM raw_events WHERE event_date >= DATE '2024-01-25'""", "raw_events")
+SELECT * REPLACE ({_MOVED}, '2.0.0' AS app_version) FROM raw_events WHERE event_date >= DATE '2024-01-25'
+UNION ALL
+SELECT * REPLACE ({_MOVED}, '1.9.0' AS app_version, created_at - INTERVAL 1 HOUR AS created_at)
+FROM raw_events WHERE event_date >= DATE '2024-01-25' AND coalesce(event_id, '') = ''""")
 O["schema_sync"] = statement(
     "SELECT * EXCLUDE (timezone), CAST(NULL AS VARCHAR) AS locale FROM raw_users", "raw_users")
-O["retention"] = statement(f"SELECT * FROM raw_events WHERE {TODAY} - event_date <= 14", "raw_events")
+O["retention"] = over(GAPS, f"SELECT * FROM raw_events WHERE coalesce({TODAY} - event_date <= 14, TRUE)")
+_DAILY_RAW = f"""SELECT * EXCLUDE (moves) REPLACE (CASE WHEN moves THEN event_timestamp + INTERVAL 4 DAY ELSE event_timestamp END AS event_timestamp,
+  CASE WHEN moves THEN event_date + 4 ELSE event_date END AS event_date)
+FROM (SELECT *, coalesce(event_date = DATE '2024-01-22' AND TRY_CAST(event_id AS BIGINT) % 7 = 0, FALSE) AS moves FROM ({GAPS}))"""
+
+
+def _per_day(table: str, cte: str, day: str, measure: str) -> str:
+    return f"SELECT '{table}' AS table_name, CAST({day} AS VARCHAR) AS day, count(*) AS n_rows, round(CAST({measure} AS DOUBLE), 4) AS measure FROM {cte} GROUP BY 2"
+
+
+O["daily_run"] = over(_DAILY_RAW, " UNION ALL ".join([
+    _per_day("stg_events", "ev", "event_date", "count(*) FILTER (is_valid)"),
+    _per_day("user_metrics", "um", "date", "sum(total_revenue)"),
+    _per_day("event_metrics", "em", "date", "sum(total_events * unique_users + coalesce(prev_day_events, 0))"),
+    _per_day("ml_features", "mf", "feature_date", "sum(events_last_30_days)"),
+    _per_day("user_analytics", "ua", "date", "sum(lifetime_events)"),
+    _per_day("business_metrics", "bm", "date", "sum(monthly_active_users)"),
+]), "ev", "um", "em", "mf", "ua", "bm")
 O["pruned_scan"] = statement(
     "SELECT * FROM raw_events WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'", "raw_events")
 O["incr_filter_events"] = statement(
@@ -712,9 +744,11 @@ O["dq_layer_sla"] = statement(
         )), "raw_events", "ev", "um", "bm")
 O["dq_anomalies"] = statement(
     """SELECT date, n_rows, round(mean, 6) AS expected, round((n_rows - mean) / nullif(spread, 0), 6) AS z_score,
-       coalesce(abs((n_rows - mean) / nullif(spread, 0)) > 3, FALSE) AS is_anomaly
+       coalesce(CASE WHEN spread = 0 THEN n_rows <> mean ELSE abs((n_rows - mean) / spread) > 3 END, FALSE) AS is_anomaly
 FROM (SELECT date, n_rows, avg(n_rows) OVER w AS mean, stddev_samp(n_rows) OVER w AS spread
-      FROM (SELECT event_date AS date, count(*) AS n_rows FROM ev GROUP BY 1)
+      FROM (SELECT c.date, count(event_date) AS n_rows
+            FROM (SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS date FROM ev) c
+            LEFT JOIN ev ON event_date = c.date GROUP BY 1)
       WINDOW w AS (ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""", "ev")
 O["dq_schema_change"] = """
 SELECT '*' AS column_name, CASE WHEN kept = total THEN 'same_rows' ELSE 'row_count' END AS change,

@@ -128,19 +128,27 @@ def layer_sla(df: DataFrame, layer: str, table: str, column: str, as_of, max_min
 
 
 def volume_anomalies(df: DataFrame, day: str, threshold: float = 3.0, history: int = 7) -> DataFrame:
-    """Daily row counts with their z-score against the previous ``history`` days' rows.
+    """Daily row counts with their z-score against the ``history`` days before.
 
-    The global window sees one row per day, never the table's rows.
+    Every day from the first to the last counts, a day without rows with 0.  After days that were
+    all alike any other count is an anomaly.  Rows without a date are on no day.  The global window
+    sees one row per day, never the table's rows.
     """
-    daily = df.groupBy(F.col(day).alias("date")).agg(rows().alias("n_rows"))
+    counted = df.where(F.col(day).isNotNull()).groupBy(F.col(day).alias("date")).agg(rows().alias("n"))
+    span = counted.agg(F.min("date").alias("first"), F.max("date").alias("last")).where("first IS NOT NULL")
+    calendar = span.select(F.explode(F.sequence("first", "last")).alias("date"))
+    daily = calendar.join(counted, "date", "left").select("date", F.coalesce("n", F.lit(0)).alias("n_rows"))
     before = trailing(None, "date", 1).rowsBetween(-history, -1)
     mean, spread = F.avg("n_rows").over(before), F.stddev_samp("n_rows").over(before)
-    return daily.select(
+    scored = daily.select(
         "date",
         "n_rows",
         mean.alias("expected"),
         F.try_divide(F.col("n_rows") - mean, spread).alias("z_score"),
-    ).withColumn("is_anomaly", F.coalesce(F.abs("z_score") > threshold, F.lit(False)))
+        (spread == 0).alias("_steady"),
+    )
+    odd = F.when(F.col("_steady"), F.col("n_rows") != F.col("expected")).otherwise(F.abs("z_score") > threshold)
+    return scored.withColumn("is_anomaly", F.coalesce(odd, F.lit(False))).drop("_steady")
 
 
 def schema_changes(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -17,6 +17,24 @@ def register(**views: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
+def register_all(events: DataFrame, users: DataFrame, as_of: AsOf) -> list[str]:
+    """Register every named view over the staged tables; returns the names."""
+    found = {
+        "recent_events": recent_events(events, as_of),
+        "active_users": active_users(events, users, as_of),
+        "daily_user_events": daily_user_events(events),
+        "user_activity_summary": user_activity_summary(events),
+        "user_event_preferences": user_event_preferences(events),
+        "daily_active_users": daily_active_users(events),
+        "revenue_metrics": revenue_metrics(events),
+        "user_cohorts": user_cohorts(events),
+        "ml_user_features": ml_user_features(events, as_of),
+        "data_quality_summary": data_quality_summary(events, users),
+    }
+    register(**found)
+    return list(found)
+
+
 def since(column: str, days: int, as_of: AsOf) -> Column:
     return F.col(column) >= F.date_sub(as_of_date(as_of), days)
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution does the sizing: shuffles start wide and are coalesced to the
-# advisory size, skewed join and rebalance partitions are split at run time.
+# Adaptive execution does the sizing: shuffles start as wide as ``input_bytes`` asks for and are
+# coalesced to the advisory size, skewed join and rebalance partitions are split at run time.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,7 +18,18 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "eventloom", master: str | None = None, **conf: str) -> SparkSession:
+PARTITION_BYTES = 128 * 2**20
+
+
+def shuffle_width(input_bytes: int) -> int:
+    """Partitions that shuffles start with: about 128 MB each, coalescing can only lower them."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(app: str = "eventloom", master: str | None = None, input_bytes: int | None = None, **conf: str) -> SparkSession:
+    """``input_bytes``: the size of the largest input, from which the width of shuffles follows."""
+    if input_bytes is not None:
+        conf = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_width(input_bytes)), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 from eventloom.sources import schemas
 
 # The JSON payload column is full of quotes, so CSV doubles them instead of using a backslash.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# NULL is written as a mark of its own, so that it differs from the empty string.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\\N"}
 # Text writers cut timestamps to milliseconds by default; readers accept any ISO form.
 MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -18,10 +19,11 @@ def with_date(df: DataFrame, ts: str, out: str) -> DataFrame:
     return df.withColumn(out, F.to_date(ts))
 
 
-def _load(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
+def _load(spark: SparkSession, path: str, fmt: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.options(**CSV_OPTIONS).csv(path)
+        # A file whose values hold line breaks cannot be split and is read by one task.
+        return reader.options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     if fmt == "json":
         # One array per file; many files still read in parallel.
         return reader.option("multiLine", "true").json(path)
@@ -32,21 +34,20 @@ def _load(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataF
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def read_events(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return with_date(_load(spark, path, fmt, schemas.EVENTS), "event_timestamp", "event_date")
+def read_events(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
+    return with_date(_load(spark, path, fmt, schemas.EVENTS, multi_line), "event_timestamp", "event_date")
 
 
-def read_users(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return with_date(_load(spark, path, fmt, schemas.USERS), "created_at", "user_date")
+def read_users(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
+    return with_date(_load(spark, path, fmt, schemas.USERS, multi_line), "created_at", "user_date")
 
 
-def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return with_date(_load(spark, path, fmt, schemas.SESSIONS), "started_at", "session_date")
+def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
+    return with_date(_load(spark, path, fmt, schemas.SESSIONS, multi_line), "started_at", "session_date")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    df.write.mode("overwrite").options(**options, **MICROSECONDS).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **MICROSECONDS).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

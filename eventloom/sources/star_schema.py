@@ -58,6 +58,19 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     return events_from(spark.read.parquet(f"{folder}/events.parquet"))
 
 
+def with_gaps(raw: DataFrame) -> DataFrame:
+    """Raw events of which some have no timestamp (hence no date), no id, or a blank one."""
+    number = F.col("event_id").cast("long")
+    timed = number % 101 != 7
+    return raw.withColumns(
+        {
+            "event_timestamp": F.when(timed, F.col("event_timestamp")),
+            "event_date": F.when(timed, F.col("event_date")),
+            "event_id": F.when(number % 107 == 11, "").when(number % 103 != 9, F.col("event_id")),
+        }
+    )
+
+
 def raw_users(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     created = F.date_add(F.lit("2023-10-01").cast("date"), (key % 120).cast("int")).cast("timestamp")

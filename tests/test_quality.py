@@ -47,6 +47,16 @@ def test_anomaly_against_previous_rows(spark):
     assert got[0].z_score is None
 
 
+def test_anomaly_after_steady_days_and_on_a_missing_day(spark):
+    start = dt.date(2024, 1, 1)
+    counts = [10] * 8 + [1000] + [10] * 8 + [0] + [10]
+    days = [(start + dt.timedelta(days=d), i) for d, n in enumerate(counts) for i in range(n)] + [(None, 1)]
+    got = q.volume_anomalies(spark.createDataFrame(days, "day date, i int"), "day").orderBy("date").collect()
+    assert [r.n_rows for r in got] == counts
+    assert [d for d, r in enumerate(got) if r.is_anomaly] == [8, 17]
+    assert q.volume_anomalies(spark.createDataFrame([], "day date"), "day").count() == 0
+
+
 def test_schema_changes(spark):
     old = spark.createDataFrame([(1, "x")], "a int, b string")
     new = spark.createDataFrame([(1, 2.0)], "a long, c double")

@@ -22,6 +22,13 @@ def test_csv_keeps_quotes_commas_and_newlines(spark, tmp_path):
     rows = SAMPLE_EVENTS + [dict(SAMPLE_EVENTS[0], event_id="evt_x", metadata='{"page": "a,\\"b\\"\n c"}')]
     events = make_events(spark, rows)
     readers.write_csv(events.drop("event_date"), str(tmp_path / "csv"))
+    assert rows_of(readers.read_events(spark, str(tmp_path / "csv"), "csv", multi_line=True)) == rows_of(events)
+
+
+def test_csv_tells_empty_from_null(spark, tmp_path):
+    rows = [dict(SAMPLE_EVENTS[0], event_id=i, user_id=u, metadata=m) for i, u, m in (("a", "", None), ("b", None, ""), ("c", "\\", '""'))]
+    events = make_events(spark, rows)
+    readers.write_csv(events.drop("event_date"), str(tmp_path / "csv"))
     assert rows_of(readers.read_events(spark, str(tmp_path / "csv"), "csv")) == rows_of(events)
 
 
