@@ -8,6 +8,7 @@ from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 TODAY = "DATE '2024-01-31'"
+# The e-mail pattern and the accepted event types.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 ACCEPTED = (
     "'purchase','page_view','signup','login','logout','click','scroll','search','filter','sort',"

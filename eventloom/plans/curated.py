@@ -17,7 +17,7 @@ def valid_daily(events: DataFrame) -> DataFrame:
     return events.where("is_valid").withColumnRenamed("event_date", "date")
 
 
-def _per_day(events: DataFrame, key: str, plain: dict[str, Column], distincts: dict[str, str]) -> DataFrame:
+def per_day(events: DataFrame, key: str, plain: dict[str, Column], distincts: dict[str, str]) -> DataFrame:
     """Daily aggregates of one key, exact distinct counts beside the plain ones.
 
     The two kinds are aggregated apart and joined on the layout both end with, so the join adds no
@@ -35,7 +35,7 @@ def _per_day(events: DataFrame, key: str, plain: dict[str, Column], distincts: d
 
 def daily_user_activity(events: DataFrame) -> DataFrame:
     """The user-day aggregate behind ``user_metrics``."""
-    wide = _per_day(
+    wide = per_day(
         events,
         "user_id",
         {
@@ -124,7 +124,7 @@ def _event_category() -> Column:
 
 def daily_event_type_activity(events: DataFrame) -> DataFrame:
     """Event-type days: few, huge groups."""
-    wide = _per_day(
+    wide = per_day(
         events,
         "event_type",
         {

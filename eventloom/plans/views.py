@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import measures as m
 from eventloom.functions.expressions import AsOf, as_of_date, month_of, pct, ratio, ratio_or
 from eventloom.operators.windows import ROWS, sums, trailing
+from eventloom.plans.curated import per_day
 
 
 def register(**views: DataFrame) -> None:
@@ -67,17 +68,17 @@ def active_users(events: DataFrame, users: DataFrame, as_of: AsOf, days: int = 3
 
 
 def daily_user_events(events: DataFrame) -> DataFrame:
-    return (
-        events.where("is_valid")
-        .groupBy("user_id", "event_date")
-        .agg(
-            m.rows().alias("total_events"),
-            m.distinct("event_type").alias("unique_event_types"),
-            m.distinct("session_id").alias("unique_sessions"),
-            *[m.hits("event_type", t).alias(f"{t}_events") for t in ("purchase", "page_view", "signup")],
-            m.revenue().alias("total_revenue"),
-            *[m.hits("platform", p).alias(f"{p}_events") for p in ("web", "mobile")],
-        )
+    kinds, platforms = ("purchase", "page_view", "signup"), ("web", "mobile")
+    plain = {
+        "total_events": m.rows(),
+        **{f"{t}_events": m.hits("event_type", t) for t in kinds},
+        "total_revenue": m.revenue(),
+        **{f"{p}_events": m.hits("platform", p) for p in platforms},
+    }
+    distincts = {"unique_event_types": "event_type", "unique_sessions": "session_id"}
+    return per_day(events, "user_id", plain, distincts).select(
+        "user_id", F.col("date").alias("event_date"), "total_events", *distincts,
+        *[f"{t}_events" for t in kinds], "total_revenue", *[f"{p}_events" for p in platforms],
     )
 
 

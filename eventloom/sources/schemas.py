@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DataType,
     LongType,
     StringType,
     StructField,
@@ -11,32 +12,57 @@ from pyspark.sql.types import (
 )
 
 
-def _struct(text: str, types: dict[str, object], required: set[str]) -> StructType:
-    return StructType(
-        [StructField(n, types.get(n, StringType()), n not in required) for n in text.split()]
-    )
+def _required(name: str, kind: DataType) -> StructField:
+    return StructField(name, kind, False)
 
 
-EVENTS = _struct(
-    "event_id user_id event_type event_timestamp session_id device_type platform app_version metadata created_at",
-    {"event_timestamp": TimestampType(), "created_at": TimestampType()},
-    {"event_id", "user_id", "event_type", "event_timestamp"},
+def _optional(name: str, kind: DataType) -> StructField:
+    return StructField(name, kind, True)
+
+
+# The columns of the raw tables.
+EVENTS = StructType(
+    [
+        _required("event_id", StringType()),
+        _required("user_id", StringType()),
+        _required("event_type", StringType()),
+        _required("event_timestamp", TimestampType()),
+        _optional("session_id", StringType()),
+        _optional("device_type", StringType()),
+        _optional("platform", StringType()),
+        _optional("app_version", StringType()),
+        _optional("metadata", StringType()),
+        _optional("created_at", TimestampType()),
+    ]
 )
-USERS = _struct(
-    "user_id email created_at updated_at first_name last_name country timezone subscription_tier metadata",
-    {"created_at": TimestampType(), "updated_at": TimestampType()},
-    {"user_id", "email", "created_at"},
+USERS = StructType(
+    [
+        _required("user_id", StringType()),
+        _required("email", StringType()),
+        _required("created_at", TimestampType()),
+        _optional("updated_at", TimestampType()),
+        _optional("first_name", StringType()),
+        _optional("last_name", StringType()),
+        _optional("country", StringType()),
+        _optional("timezone", StringType()),
+        _optional("subscription_tier", StringType()),
+        _optional("metadata", StringType()),
+    ]
 )
-SESSIONS = _struct(
-    "session_id user_id started_at ended_at duration_seconds page_views events_count device_type platform country metadata",
-    {
-        "started_at": TimestampType(),
-        "ended_at": TimestampType(),
-        "duration_seconds": LongType(),
-        "page_views": LongType(),
-        "events_count": LongType(),
-    },
-    {"session_id", "user_id", "started_at"},
+SESSIONS = StructType(
+    [
+        _required("session_id", StringType()),
+        _required("user_id", StringType()),
+        _required("started_at", TimestampType()),
+        _optional("ended_at", TimestampType()),
+        _optional("duration_seconds", LongType()),
+        _optional("page_views", LongType()),
+        _optional("events_count", LongType()),
+        _optional("device_type", StringType()),
+        _optional("platform", StringType()),
+        _optional("country", StringType()),
+        _optional("metadata", StringType()),
+    ]
 )
 
 # Accepted domains and the e-mail pattern.
