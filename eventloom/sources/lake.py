@@ -109,6 +109,12 @@ class Lake:
         """Newest partition date, the start of the next incremental slice."""
         return max((d for d in self.partitions(name) if d), default=None) if self.exists(name) else None
 
+    def newest(self, name: str) -> DataFrame:
+        """The newest dated partition: enough for the newest value of what the date comes from."""
+        day = self.watermark(name)
+        df = self.read(name)
+        return df if day is None else df.where(F.col(TABLES[name].date_col) == F.lit(day))
+
     # --- pending days ------------------------------------------------------------------------
 
     def _pending_path(self, name: str) -> str:

@@ -124,6 +124,15 @@ def test_emptied_day_disappears_from_models(spark, lake):
     assert stored(lake) == [("c", D1, "z")]
 
 
+def test_newest_reads_one_partition(spark, lake):
+    lake.replace("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x"), ("b", "click", "2024-01-02 10:00:00", "y"), ("c", "click", None, "z")))
+    newest = lake.newest("events")
+    assert rows_of(newest, "event_id") == [("b",)]
+    assert "PartitionFilters: [isnotnull(event_date" in newest._jdf.queryExecution().executedPlan().toString()
+    lake.replace("events", events_on(spark, ("c", "click", None, "z")))
+    assert rows_of(lake.newest("events"), "event_id") == [("c",)]
+
+
 def test_watermark_comes_from_the_listing(spark, lake):
     assert lake.watermark("events") is None
     lake.replace("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x"), ("b", "click", None, "y")))
