@@ -28,8 +28,8 @@ from eventloom.llm.common import numbered
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BLOCK_CHARS = 10_000_000  # text held at a time
-CACHE_WORDS = 600_000  # encoded pre-tokens kept between blocks
+BLOCK_CHARS = 4_000_000  # text held at a time
+CACHE_WORDS = 150_000  # encoded pre-tokens kept between blocks
 
 
 def byte_symbols() -> dict[int, str]:

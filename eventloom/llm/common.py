@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from eventloom.sources import paths
 
 FOLDS = 5
+BATCH_ROWS = 1000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers of this application, wherever they run."""
+    """Give the package to the Python workers of this application, wherever they run, and bound the
+    rows they are handed at a time: documents are long, and Spark's default is 10,000 rows."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent

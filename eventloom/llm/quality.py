@@ -29,7 +29,7 @@ NEIGHBOURS = 25
 SHARPNESS = 8
 THRESHOLD = 0.3
 BLOCK = 2048  # documents whose products are held at a time
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 100_000
 _RUNS = re.compile(r"(.)\1+", re.DOTALL)
 _EDGES = re.compile(r"^\W+|\W+$")
 

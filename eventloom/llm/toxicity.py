@@ -32,7 +32,7 @@ LEAST_DOCS = 8  # documents of the sample a word must occur in
 PENALTY = 0.2
 THRESHOLD = 0.35
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 100_000
 
 
 def word_set(text: str | None) -> set[str]:
