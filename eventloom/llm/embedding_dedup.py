@@ -1,10 +1,12 @@
-"""Near-duplicate embeddings by sorted projection passes.
-
-Each pass gives every vector the signs of random projections as one number and sorts all vectors by
-it, so that vectors which agree in the leading signs are neighbours.  Every vector is compared with
-the WINDOW that follow it; verified pairs of all passes are united.  A window cuts groups of more
-than WINDOW close vectors, but those chain together, and inside the united components all pairs
-are then counted exactly, in blocks.  Equal vectors are one class from the start.
+"""Near-duplicate embeddings by shared cells around pivots.
+
+In each pass a vector goes to the cell of its nearest pivot in two sets, both drawn from the vectors
+themselves, so that dense regions get more pivots.  All pairs within a cell are compared or already
+connected, whatever the size of the cell.  The number of pivots follows from the number of vectors;
+the number of passes from a measurement: partners at the threshold are made for some vectors, and
+passes are added until the share of partners that meet in no cell is below MISSED.  Where MOST
+passes do not reach that, the cells grow, up to one cell, which is exact.  Inside the united
+components all pairs are then counted exactly, in blocks.  Equal vectors are one class from the start.
 """
 
 from __future__ import annotations
@@ -15,14 +17,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import starts, stored, whole_groups
-from eventloom.llm.graph import components
+from eventloom.llm.common import hashed_sample, starts, stored, whole_groups
+from eventloom.llm.graph import linked
 
 COSINE = 0.9
-PASSES = 16
-BITS = 62
-WINDOW = 64
+MISSED = 1e-3  # of the pairs at the threshold
+PASSES = 8  # at least
+MOST = 64
+WINDOW = 512  # vectors per cell, about
 BLOCK = 1024
+POOL = 4096  # vectors that pivots and probes are drawn from
+POOL_BYTES = 1 << 26
 SEED = 11
 
 
@@ -61,88 +66,72 @@ def matrix(payloads: list[bytes], dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(payloads), np.float64).reshape(-1, dim)
 
 
-def projected(classes: DataFrame, passes: int) -> DataFrame:
-    """(pass, dim, code, node, payload): one row per class and pass."""
+def _nearest(x: np.ndarray, pool: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """Per vector and pass the cell: the nearest pivots of both sets as one number."""
+    passes, _, size = sets.shape
+    near = (x @ pool.T)[:, sets.reshape(-1)].reshape(len(x), passes, 2, size).argmax(axis=3)
+    return near[:, :, 0] * size + near[:, :, 1]
+
+
+def pivots(pool: np.ndarray, rows: int, window: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pivots, sets): for each pass two sets of row numbers of the pivots, for ``rows`` vectors."""
+    rng = np.random.default_rng((SEED, pool.shape[1]))
+    size = min(int(np.ceil(np.sqrt(rows / window))), len(pool) // 2)
+    # Probes are no pivots: a pivot and its partner would meet too often.
+    probes, pool = pool[1::2], pool[::2]
+    away = rng.standard_normal(probes.shape)
+    away -= (away * probes).sum(1, keepdims=True) * probes
+    away /= np.maximum(np.sqrt((away * away).sum(1, keepdims=True)), 1e-300)
+    partners = COSINE * probes + np.sqrt(1 - COSINE * COSINE) * away
+    while size > 1:
+        chosen = [rng.choice(len(pool), size, replace=False) for _ in range(2 * MOST)]
+        sets = np.array(chosen).reshape(MOST, 2, size)
+        apart = np.ones(len(probes), dtype=bool)
+        for p in range(MOST):
+            one = sets[p : p + 1]
+            apart &= (_nearest(probes, pool, one) != _nearest(partners, pool, one))[:, 0]
+            if p + 1 >= least and apart.mean() < MISSED:
+                return pool, sets[: p + 1]
+        size = size * 3 // 4
+    return pool[:1], np.zeros((1, 2, 1), dtype=np.int64)
+
+
+def cells(classes: DataFrame, passes: int, window: int) -> DataFrame:
+    """(group, node): one row per class and pass."""
+    sizes = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    plans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for dim, rows in sorted(sizes.items()):
+        if rows > window:  # shorter tables are one cell
+            size = max(2, min(POOL, POOL_BYTES // (8 * dim)))
+            sample = hashed_sample(classes.where(F.col("dim") == dim).select("node", "payload"), size, by=F.col("node"))
+            plans[dim] = pivots(matrix([r.payload for r in sample.select("payload").collect()], dim), rows, window, passes)
 
     def run(batches):
-        powers = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
             dims = np.array(batch.column("dim").to_pylist())
             for dim in sorted(set(dims.tolist())):
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng((SEED, dim)).standard_normal((dim, passes * BITS))
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                signs = matrix(part.column("payload").to_pylist(), dim) @ planes[dim] > 0
-                codes = signs.reshape(-1, passes, BITS).astype(np.int64) @ powers
-                for p in range(passes):
-                    n = part.num_rows
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, p), pa.int32()), part.column("dim"), pa.array(codes[:, p], pa.int64()), part.column("node"), part.column("payload")],
-                        names=["pass", "dim", "code", "node", "payload"],
-                    )
-
-    return classes.mapInArrow(run, "pass int, dim int, code long, node binary, payload binary")
-
-
-def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest row that each row reaches over the given links."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[left], root[right])
-        new = root.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
-def window_links(sorted_rows: DataFrame, window: int, block: int) -> DataFrame:
-    """(a, b): links that connect what verified pairs within the window connect."""
+                if dim in plans:
+                    found = _nearest(matrix(part.column("payload").to_pylist(), dim), *plans[dim])
+                else:
+                    found = np.zeros((part.num_rows, 1), dtype=np.int64)
+                for p in range(found.shape[1]):
+                    groups = [f"{dim}:{p}:{c}" for c in found[:, p].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), part.column("node")], names=["group", "node"])
 
-    def run(batches):
-        for table in whole_groups(batches, ["block"]):
-            ps, dims, tail = (np.array(table.column(c).to_pylist()) for c in ("pass", "dim", "tail"))
-            nodes, loads = table.column("node").to_pylist(), table.column("payload").to_pylist()
-            edges = [*starts(table, ["block"]), table.num_rows]
-            out: list[tuple[bytes, bytes]] = []
-            for i, j in zip(edges, edges[1:]):
-                for dim in sorted(set(dims[i:j].tolist())):
-                    at = i + np.flatnonzero(dims[i:j] == dim)
-                    x = matrix([loads[r] for r in at], dim)
-                    left, right = [], []
-                    for d in range(1, min(window, len(at) - 1) + 1):
-                        near = np.einsum("ij,ij->i", x[:-d], x[d:]) >= COSINE
-                        hit = np.flatnonzero(near & (ps[at[:-d]] == ps[at[d:]]) & ~tail[at[:-d]])
-                        left.append(hit)
-                        right.append(hit + d)
-                    if left and sum(map(len, left)):
-                        root = _roots(len(at), np.concatenate(left), np.concatenate(right))
-                        out += [(nodes[at[r]], nodes[at[k]]) for k, r in enumerate(root.tolist()) if r != k]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
-
-    placed = stored(
-        sorted_rows.repartitionByRange("pass", "dim", "code", "node").sortWithinPartitions("pass", "dim", "code", "node").withColumn("row", F.monotonically_increasing_id()), "sorted"
-    )
-    # Rows number on from partition to partition; one count per partition reaches the driver.
-    part = F.shiftright("row", 33)
-    counts = sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
-    offsets, total = [], 0
-    for p, n in counts:
-        offsets.append((p, total))
-        total += n
-    if not total:
-        return placed.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    offset = placed.sparkSession.createDataFrame(offsets, "part long, offset long")
-    at = placed.withColumn("part", part).join(F.broadcast(offset), "part")
-    position = F.col("offset") + F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
-    at = at.select("pass", "dim", "node", "payload", position.alias("position"), F.floor(position / block).alias("home"))
-    early = (F.col("position") % block < window) & (F.col("home") > 0)
-    both = at.withColumn("block", F.explode(F.when(early, F.array("home", F.col("home") - 1)).otherwise(F.array("home"))))
-    both = both.withColumn("tail", F.col("block") != F.col("home"))
-    return both.repartition("block").sortWithinPartitions("block", "position").select("block", "pass", "dim", "node", "payload", "tail").mapInArrow(run, "a binary, b binary")
+    return classes.select("node", "dim", "payload").mapInArrow(run, "group string, node binary")
+
+
+class Cosines:
+    """The vectors of one block and which of them are near each other."""
+
+    def __init__(self, payloads) -> None:
+        loads = payloads.to_pylist()
+        x = matrix(loads, len(loads[0]) // 8)
+        self.near = x @ x.T >= COSINE
+
+    def similar(self, one: int, others: np.ndarray) -> np.ndarray:
+        return self.near[one, others]
 
 
 def counted_links(members: DataFrame, block: int) -> DataFrame:
@@ -184,15 +173,15 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
 
     Vectors without a direction link with nothing.  Vectors of different lengths never link.  A row
     with a NULL key takes part; a component of such rows alone has the id NULL.  Repeated rows count
-    as rows of their own.
+    as rows of their own.  There are ``passes`` passes at least, over cells of about ``window`` vectors.
     """
     marked = stored(marks(vectors, key, embedding), "vector-marks")
     classes = stored(
         marked.where("node is not null").groupBy("node").agg(F.min(key).alias("first_id"), F.count("*").alias("n"), F.min("dim").alias("dim"), F.min("payload").alias("payload")),
         "vector-classes",
     )
-    edges = window_links(projected(classes.select("node", "dim", "payload"), passes), window, block)
-    united = stored(components(edges, "vector"), "vector-components")
+    loads = classes.select("node", F.lit(1).alias("weight"), "payload")
+    united = linked(cells(classes, passes, window), loads, Cosines, "vector", block, block)
     counted = counted_links(classes.select("node", "n", "dim", "payload").join(united, "node"), block)
     named = classes.select("node", "first_id", "n").join(united, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

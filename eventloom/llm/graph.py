@@ -68,22 +68,16 @@ def spanning(n: int, rows: Compared) -> list[tuple[int, int]]:
 
 def bridging(strays: np.ndarray, members: np.ndarray, labels: list, rows: Compared) -> list[tuple[int, int]]:
     """Links between differently labelled rows, one at most for two labels once joined."""
-    parent: dict = {x: x for x in labels}
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    mine = np.array([number[x] for x in labels], dtype=np.int64)  # joined labels get one number
     out = []
     for one in strays.tolist():
-        mine = root(labels[one])
-        others = np.array([m for m in members.tolist() if root(labels[m]) != mine], dtype=np.int64)
+        others = members[mine[members] != mine[one]]
         if not len(others):
             continue
         for other in others[rows.similar(one, others)].tolist():
-            if root(labels[other]) != root(labels[one]):
-                parent[root(labels[other])] = root(labels[one])
+            if mine[other] != mine[one]:
+                mine[mine == mine[other]] = mine[one]
                 out.append((one, other))
     return out
 

@@ -54,3 +54,22 @@ def test_groups_larger_than_window_and_block(spark, kind):
     rows = [(i, np.asarray(v, np.float32).tolist()) for i, v in enumerate(rows)]
     df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
     assert found(e.near_vectors(df, window=8, block=16)) == brute(rows)
+
+
+def test_pairs_at_the_threshold_in_a_hot_cluster(spark):
+    """A third of the vectors share a direction (cosine 0.7); partners at 0.90 to 0.92 are planted."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rng.standard_normal((20_000, 64)))
+    hot = len(x) // 3
+    x[:hot] = unit(np.sqrt(0.7) * unit(rng.standard_normal(64)) + np.sqrt(0.3) * x[:hot])
+    picked = rng.choice(len(x), 400, replace=False)
+    away = rng.standard_normal((400, 64))
+    away = unit(away - (away * x[picked]).sum(1, keepdims=True) * x[picked])
+    cosine = rng.uniform(0.901, 0.92, (400, 1))
+    y = cosine * x[picked] + np.sqrt(1 - cosine * cosine) * away
+    rows = [(i, v) for i, v in enumerate(np.concatenate([x, y]).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    named = {r.vec_id: r.component_id for r in e.near_vectors(df).collect()}
+    missed = sum(named[len(x) + k] != named[i] for k, i in enumerate(picked.tolist()))
+    assert len(named) == len(rows) and missed <= 2
