@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.expressions import AsOf
+from eventloom.operators.keyed import has_key, latest_per_key, sync_columns, with_keys_of
 from eventloom.plans import curated, incremental, mart, staging
 from eventloom.plans.assertions import check_models
 from eventloom.plans.views import dag_quality_check
 from eventloom.sources.catalog import TABLES
-from eventloom.sources.lake import Lake, dates_of, newer_users, on_dates
+from eventloom.sources.lake import Lake, dates_of, on_dates
 
 ALL_CHECKS = ("unique_combination", "not_null_proportion", "accepted_values", "expression_is_true")
 
@@ -52,9 +53,32 @@ def _stage_events(lake: Lake, as_of: AsOf, search_back_days: int | None) -> None
 
 
 def _stage_users(lake: Lake, as_of: AsOf) -> None:
-    mark = lake.watermark("stg_users")
-    updated = lake.read("stg_users").agg(F.max("updated_at")).first()[0] if mark else None
-    lake.upsert("stg_users", staging.stg_users(newer_users(lake.read("users"), mark, updated), as_of))
+    """Stage the raw users whose partitions changed, without a date too; the event days of users that
+    the metrics see changed become pending there before the users are stored."""
+    days = lake.pending("stg_users")
+    if days is None or days:
+        raw = lake.read("users")
+        if days is not None:
+            keys = TABLES["users"].keys
+            changed = raw.where(on_dates("user_date", days))
+            # Versions of the same users in other partitions compete too.
+            raw = with_keys_of(raw, changed.where(has_key(keys)), keys).unionByName(changed.where(~has_key(keys)))
+        staged = staging.stg_users(raw, as_of)
+        if lake.exists("user_metrics"):
+            lake.add_pending("user_metrics", _days_of_changed(lake, staged))
+        lake.upsert("stg_users", staged)
+        lake.settle("stg_users", days)
+
+
+def _days_of_changed(lake: Lake, staged: DataFrame) -> set | None:
+    """The event days of the users whose part in user_metrics these rows change; None: every day."""
+    if not lake.exists("stg_users"):
+        return None
+    table = TABLES["stg_users"]
+    fresh = latest_per_key(staged, table.keys, table.newest_first).where(has_key(table.keys))
+    new, old = curated.user_context(fresh), curated.user_context(with_keys_of(sync_columns(lake.read("stg_users"), fresh), fresh, table.keys))
+    changed = new.subtract(old).unionAll(old.subtract(new)).select("user_id")
+    return {d for d in dates_of(with_keys_of(lake.read("stg_events").where("is_valid"), changed, ("user_id",)), "event_date") if d}
 
 
 def _stage_sessions(lake: Lake, as_of: AsOf) -> None:

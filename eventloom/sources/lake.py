@@ -134,8 +134,12 @@ class Lake:
     def _mark(self, name: str, touched: Days | None) -> None:
         """Before a table changes, its changing days become pending below it, so no crash can lose them."""
         for below in DOWNSTREAM.get(name, ()):
-            known = self.pending(below)
-            self._set_pending(below, None if touched is None or known is None else known | touched)
+            self.add_pending(below, touched)
+
+    def add_pending(self, name: str, days: Days | None) -> None:
+        """``name`` has to take these days over; None: every day."""
+        known = self.pending(name)
+        self._set_pending(name, None if days is None or known is None else known | days)
 
     def settle(self, name: str, days: Days | None) -> None:
         """``name`` has taken these days over."""

@@ -99,6 +99,25 @@ def test_late_moved_and_undated_rows_and_stopped_runs_end_as_a_full_refresh(spar
     assert dt.date(2024, 1, 25) in lake.partitions("user_metrics")
 
 
+def test_late_undated_and_changed_users_end_as_a_full_refresh(spark, lake):
+    raw = star.raw_events(spark, SF).where("event_date BETWEEN DATE'2024-01-22' AND DATE'2024-01-26'").cache()
+    number = F.pmod(F.xxhash64("user_id"), F.lit(6))
+    undated, silent = number == 1, number <= 2  # silent: nothing says when they were updated
+    users = star.raw_users(spark, SF).withColumns({
+        "created_at": F.when(~undated, F.col("created_at")),
+        "user_date": F.when(~undated, F.col("user_date")),
+        "updated_at": F.when(~silent, F.col("updated_at")),
+    }).cache()
+    lake.replace("users", users.where(number > 1).withColumn("country", F.when(number != 2, F.col("country"))))
+    lake.replace("events", raw.where("event_date < DATE'2024-01-26'"))
+    daily.run_models(lake, AS_OF, enforce=())
+    lake.upsert("users", users.where(silent))
+    daily.run_day(lake, raw, dt.date(2024, 1, 26), AS_OF, enforce=())
+    people = staging.stg_users(users, AS_OF)
+    for name, df in {**full_refresh(staging.stg_events(raw, AS_OF), people), "stg_users": people}.items():
+        assert settled(lake.read(name)) == settled(df), name
+
+
 def test_crash_between_models_is_caught_up(spark, lake, monkeypatch):
     raw, users = star.raw_events(spark, SF).where("event_date >= DATE'2024-01-25'"), star.raw_users(spark, SF)
     lake.replace("users", users)
