@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import stored
 
 SPAN = 9
-# Token offsets that count; the others may differ.
-MASKS = ((0, 1, 3, 5, 6, 8), (0, 2, 3, 4, 7, 8), (0, 1, 2, 5, 7, 8))
+# Token offsets that count; the others may differ.  Together they hit every stretch of SPAN to REACH
+# tokens in which SHARE of the tokens agree (a test enumerates all substitutions).
+MASKS = (
+    (0, 1, 3, 5, 6, 8), (0, 2, 3, 4, 7, 8), (0, 1, 2, 5, 7, 8), (1, 4, 5, 6, 7, 8),
+    (0, 1, 3, 4, 5, 7), (0, 1, 2, 3, 4, 8), (0, 2, 3, 5, 6, 7), (0, 3, 4, 5, 6, 8),
+)
 REACH = 15
 SHARE = 0.8
 BEFORE = 6  # aligned tokens looked at before a hit; REACH from it onwards

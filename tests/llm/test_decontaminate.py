@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -77,3 +78,17 @@ def test_no_python_in_the_plan(spark, docs):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     plan = d.leaks(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_substitution_the_rule_accepts(spark):
+    """All ways to change as many tokens as the 80 % rule allows, without looking at masks."""
+    items = [(n, " ".join(f"t{n}x{i}" for i in range(n))) for n in (9, 10, 11, 12, 13, 14, 15, 18)]
+    docs = []
+    for n, text in items:
+        stretch = min(n, d.REACH)
+        for changed in combinations(range(stretch), stretch - math.ceil(stretch * d.SHARE - 1e-9)):
+            words = [f"other{i}" if i in changed else w for i, w in enumerate(text.split()[:stretch])]
+            docs.append((n, " ".join(["before", *words, "after"])))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string")
+    got = found(d.leaks(df, spark.createDataFrame(items, "item_id long, text string")))
+    assert set(got) == {(i, n) for i, (n, _) in enumerate(docs)}
