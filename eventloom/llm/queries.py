@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, secrets, token_counts, toxicity
+from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, runs, secrets, token_counts, toxicity
 from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ def op10_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(joined("_base"), 256).alias("base_sha256"), joined("found").alias("spans"),
     )
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every whole document, after the tails of some are repeated."""
+    return runs.digest(runs.periodic_runs(table(spark, folder, "documents"), echo=True))
