@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, runs, secrets, token_counts, toxicity
+from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, runs, secrets, spelling, token_counts, toxicity
 from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,6 +188,12 @@ def op10_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents with the commoner word that each is a misspelling of."""
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents"), typos=True))
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of words of every whole document, after the tails of some are repeated."""
