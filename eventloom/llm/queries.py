@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, quality, runs, secrets, spelling, token_counts, toxicity
+from eventloom.llm import bpe, chat, decontaminate, embedding_dedup, langid, minhash, neighbours, quality, runs, secrets, spelling, token_counts, toxicity
 from eventloom.llm.common import held_out, ship, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,6 +194,13 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, folder, "documents"), typos=True))
 
 
+@query
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows of every embedding whose id is divisible by 20."""
+    found = neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of words of every whole document, after the tails of some are repeated."""
