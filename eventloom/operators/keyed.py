@@ -22,6 +22,13 @@ def has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() & (F.col(k).cast("string") != "") for k in keys])
 
 
+def content_of(df: DataFrame) -> dict[str, Column]:
+    """Two hashes of what a row says: its columns by name without the stamps; a NULL column says nothing,
+    so a column added later does not make old rows new."""
+    said = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns) if c not in STAMPS]))
+    return {f"_content{seed}": F.xxhash64(F.lit(seed), said) for seed in (1, 2)}
+
+
 def missing_copies(have: DataFrame, want: DataFrame) -> DataFrame:
     """The rows of ``want`` that ``have`` lacks, counted per copy, by content without the stamps.
 

@@ -5,19 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.functions.expressions import AsOf, as_of_date
-from eventloom.operators.keyed import has_key, latest_per_key, missing_copies, sync_columns, with_keys_of, without_keys_of
+from eventloom.operators.keyed import content_of, has_key, latest_per_key, missing_copies, sync_columns, with_keys_of, without_keys_of
 from eventloom.sources import paths
 from eventloom.sources.catalog import DOWNSTREAM, TABLES, Table
+from eventloom.sources.key_index import KeyIndex
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+MAX_FILES = 64  # of one partition; more are rewritten as one when it next gains rows
 
 
 class UnboundedRead(ValueError):
@@ -131,9 +133,9 @@ class Lake:
         text = None if days is None else sorted((d and d.isoformat() for d in days), key=str)
         paths.write_text(self.spark, self._pending_path(name), json.dumps(text))
 
-    def _mark(self, name: str, touched: Days | None) -> None:
+    def _mark(self, name: str, touched: Days | None, marks: Sequence[str] | None = None) -> None:
         """Before a table changes, its changing days become pending below it, so no crash can lose them."""
-        for below in DOWNSTREAM.get(name, ()):
+        for below in DOWNSTREAM.get(name, ()) if marks is None else marks:
             self.add_pending(below, touched)
 
     def add_pending(self, name: str, days: Days | None) -> None:
@@ -151,39 +153,73 @@ class Lake:
     def _journal_path(self, name: str) -> str:
         return f"{self.root}/_journal/{name}.json"
 
-    def _commit(self, name: str, df: DataFrame, gone: Iterable[dt.date | None] = (), touched: Days | None = None, full: bool = False) -> None:
+    def index(self, name: str) -> KeyIndex:
+        return KeyIndex(self.spark, self.root, TABLES[name])
+
+    def _commit(
+        self,
+        name: str,
+        df: DataFrame,
+        gone: Iterable[dt.date | None] = (),
+        touched: Days | None = None,
+        full: bool = False,
+        replaced_files: Iterable[str] | None = None,
+        marks: Sequence[str] | None = None,
+    ) -> None:
         """Swap in the partitions of ``df`` and drop those in ``gone`` (all others, with ``full``).
 
-        The new partitions are written beside the table, then a journal says what is to be swapped.
-        A job lost before the journal leaves the table as it was; one lost after it is finished by
-        the next access.  Readers may see some partitions new and some old while the swap runs.
+        With ``replaced_files`` the files of ``df`` are added to the partitions instead, and those files
+        disappear.  What is new is written beside the table, then a journal says what is to be
+        swapped.  A job lost before the journal leaves the table as it was; one lost after it is
+        finished by the next access.  Readers may see some partitions new and some old while the swap
+        runs.  ``marks`` names the models for which the days become pending, by default all below.
         """
         table = TABLES[name]
         staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
         write_table(df, staged, table.date_col, table.cluster)
         prefix = f"{table.date_col}="
         new = [c for c in paths.children(self.spark, staged) if c.startswith(prefix)]
-        old = [c for c in paths.children(self.spark, self.path(name)) if c.startswith(prefix)]
-        dropped = [c for c in old if c not in new] if full else [f"{prefix}{_NO_DATE if d is None else d}" for d in gone]
         nullable = StructType([type(f)(f.name, f.dataType, True) for f in df.schema])
-        self._mark(name, touched)
-        journal = {"staged": staged, "new": new, "dropped": [c for c in dropped if c not in new], "schema": nullable.json()}
+        journal = {"staged": staged, "new": [], "dropped": [], "added": [], "removed": [], "schema": nullable.json()}
+        if replaced_files is not None:
+            journal |= {"added": new, "removed": sorted(replaced_files)}
+        else:
+            old = [c for c in paths.children(self.spark, self.path(name)) if c.startswith(prefix)] if full else []
+            dropped = [c for c in old if c not in new] if full else [f"{prefix}{_NO_DATE if d is None else d}" for d in gone]
+            journal |= {"new": new, "dropped": [c for c in dropped if c not in new]}
+        self._mark(name, touched, marks)
+        index = None if table.key_fixes_date else self.index(name)
+        if index and full:
+            index.drop()
+        elif index and new and index.exists():
+            index.add(self.spark.read.schema(nullable).parquet(staged))
         paths.write_text(self.spark, self._journal_path(name), json.dumps(journal))
         self._finish(name)
+        if index and full:
+            index.build(self.read(name))
 
     def _finish(self, name: str) -> None:
         """Carry out what the journal of the table says; every step can be repeated."""
         if not paths.exists(self.spark, self._journal_path(name)):
             return
         journal = json.loads(paths.read_text(self.spark, self._journal_path(name)))
-        paths.make(self.spark, self.path(name))
+        spark, staged, home = self.spark, journal["staged"], self.path(name)
+        paths.make(spark, home)
         for child in journal["new"]:
-            paths.replace(self.spark, f"{journal['staged']}/{child}", f"{self.path(name)}/{child}")
+            paths.replace(spark, f"{staged}/{child}", f"{home}/{child}")
         for child in journal["dropped"]:
-            paths.remove(self.spark, f"{self.path(name)}/{child}")
-        paths.write_text(self.spark, self._schema_path(name), journal["schema"])
-        paths.remove(self.spark, self._journal_path(name))
-        paths.remove(self.spark, journal["staged"])
+            paths.remove(spark, f"{home}/{child}")
+        for child in journal["added"]:
+            for file in paths.files(spark, f"{staged}/{child}"):
+                paths.move(spark, f"{staged}/{child}/{file}", f"{home}/{child}/{file}")
+        for file in journal["removed"]:
+            paths.remove(spark, f"{home}/{file}")
+        for child in {f.rsplit("/", 1)[0] for f in journal["removed"]}:
+            if not paths.files(spark, f"{home}/{child}"):
+                paths.remove(spark, f"{home}/{child}")
+        paths.write_text(spark, self._schema_path(name), journal["schema"])
+        paths.remove(spark, self._journal_path(name))
+        paths.remove(spark, staged)
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Full load: the table becomes exactly ``df``."""
@@ -210,15 +246,46 @@ class Lake:
         return any(types.get(c, t) != t for c, t in self.read(name).dtypes)
 
     def append_day(self, name: str, staged: DataFrame, day: dt.date) -> None:
-        """Load one day into a table.  A repeated run replaces the day instead of doubling it.
+        """Load one day into a table, and the rows without a date, which belong to no day.
 
-        Rows without a date belong to no day; they are upserted, so that they are loaded once too.
+        The day is one delivery: loading it again replaces what it brought before, and nothing else.
         """
         date_col = TABLES[name].date_col
-        self.replace_dates(name, staged.where(F.col(date_col) == F.lit(day)), touched={day})
-        undated = staged.where(F.col(date_col).isNull())
-        if not undated.isEmpty():
-            self.upsert(name, undated)
+        self.deliver(name, staged.where((F.col(date_col) == F.lit(day)) | F.col(date_col).isNull()), day.isoformat())
+
+    def _ledger(self, name: str) -> str:
+        return f"{self.root}/_deliveries/{name}"
+
+    def deliver(self, name: str, rows: DataFrame, delivery: str) -> Days:
+        """Load one delivery; loading it again replaces the rows that came with it by what it holds now.
+
+        A ledger keeps the content and the key of what each delivery brought.  Rows that came late
+        under the same dates, in other deliveries or as corrections, stay as they are; a row that has
+        moved on to another date is not brought back; a row that the delivery no longer holds goes, if it
+        still says what the delivery said.  The ledger holds both attempts while the rows are being
+        exchanged, so a lost load is repaired by the next attempt.
+        """
+        table = TABLES[name]
+        where, contents = f"{self._ledger(name)}/delivery={delivery}", ["_content1", "_content2"]
+        rows = self.materialise(rows, f"delivery-{name}")
+        keys = [F.first(k).alias(k) for k in table.keys]
+        brought = rows.withColumns(content_of(rows)).groupBy(*contents).agg(*keys, F.first(table.date_col).alias("_day"), F.count("*").alias("_copies"))
+        brought = self.materialise(brought, f"brought-{name}")
+        withdrawn = None
+        if paths.exists(self.spark, where):
+            before = self.spark.read.schema(brought.schema).parquet(where).groupBy(*contents).agg(*keys, F.first("_day").alias("_day"), F.max("_copies").alias("_before"))
+            left = F.col("_before") - F.coalesce("_copies", F.lit(0))
+            lacking = before.join(brought.select(*contents, "_copies"), contents, "left").withColumn("_copies", left).where("_copies > 0").drop("_before")
+            # A key that the delivery still holds is replaced or kept by the rules of the upsert.
+            withdrawn = self.materialise(lacking.where(~has_key(table.keys)).unionByName(without_keys_of(lacking.where(has_key(table.keys)), rows, table.keys)), f"withdrawn-{name}")
+            if withdrawn.isEmpty():
+                withdrawn = None
+        brought.write.mode("append").parquet(where)
+        touched = self.upsert(name, rows, withdrawn=withdrawn)
+        fresh = f"{self.root}/_staged/ledger-{uuid.uuid4().hex}"
+        brought.write.parquet(fresh)
+        paths.replace(self.spark, fresh, where)
+        return touched
 
     def materialise(self, df: DataFrame, label: str) -> DataFrame:
         """Write to the shared scratch folder and read back: a lineage cut that survives lost executors."""
@@ -226,23 +293,58 @@ class Lake:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def upsert(self, name: str, batch: DataFrame, search_back_days: int | None = None) -> Days:
+    def _with_files(self, name: str) -> DataFrame:
+        """The table with the partition folder and file of each row as ``_file``."""
+        schema = StructType.fromJson(json.loads(paths.read_text(self.spark, self._schema_path(name))))
+        file = F.array_join(F.slice(F.split("_metadata.file_path", "/"), -2, 2), "/")
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames(), file.alias("_file"))
+
+    def _read_files(self, name: str, files: Collection[str]) -> DataFrame:
+        """Those files of the table and no others; metadata of one file each reached the driver before."""
+        schema = StructType.fromJson(json.loads(paths.read_text(self.spark, self._schema_path(name))))
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        home = self.path(name)
+        return self.spark.read.schema(schema).option("basePath", home).parquet(*[f"{home}/{f}" for f in sorted(files)]).select(*schema.fieldNames())
+
+    def _crowded(self, name: str, days: Days) -> set[str]:
+        """The files of those partitions among ``days`` that hold many: rewriting them is due."""
+        out: set[str] = set()
+        for d in days:
+            child = f"{TABLES[name].date_col}={_NO_DATE if d is None else d}"
+            found = paths.files(self.spark, f"{self.path(name)}/{child}")
+            if len(found) >= MAX_FILES:
+                out |= {f"{child}/{f}" for f in found}
+        return out
+
+    def upsert(
+        self,
+        name: str,
+        batch: DataFrame,
+        search_back_days: int | None = None,
+        withdrawn: DataFrame | None = None,
+        gone: DataFrame | None = None,
+        marks: Sequence[str] | None = None,
+    ) -> Days:
         """Replace rows with the batch's keys, add the others, adopt the batch's columns.
 
-        Returns the days that gained or lost rows; only their partitions are rewritten (all, when a
-        column changes its type).  A key may have moved from any older partition, so the key column of
-        the whole table is searched.  ``search_back_days`` states how far the feed lets keys move;
-        a key that moved further raises KeyOutOfBounds before anything is written.
+        Returns the days that gained or lost rows.  The key index says in which partitions the keys can
+        be; only files that hold one of them are rewritten (all, when a column changes its type).
+        ``search_back_days`` states how far the feed lets keys move; a key that moved further raises
+        KeyOutOfBounds before anything is written.
 
         Rows whose key is NULL or blank are matched by content and counted: a replay adds none.  A
-        version that arrived before the stored one does not replace it.
+        version that arrived before the stored one does not replace it.  ``withdrawn`` (content, day,
+        copies) and ``gone`` (keys) name rows that disappear.  ``marks``: see ``_commit``.
         """
         table: Table = TABLES[name]
         batch = latest_per_key(batch, table.keys, table.newest_first)
+        self._finish(name)
         if not self.exists(name):
             self.replace(name, batch)
             return set(self.partitions(name))
         aside: list[str] = []
+        day = table.date_col
 
         def keep(df: DataFrame, label: str) -> DataFrame:  # used several times below
             aside.append(paths.scratch_dir(self.spark, f"upsert-{name}-{label}"))
@@ -251,14 +353,17 @@ class Lake:
 
         try:
             batch = keep(batch, "batch")
+            # One row per partition date of the batch.
+            counts = batch.groupBy(day).agg(F.count_if(has_key(table.keys)).alias("keyed"), F.count_if(~has_key(table.keys)).alias("loose")).collect()
             keyed, loose = batch.where(has_key(table.keys)), batch.where(~has_key(table.keys))
-            current = self.read(name)
-            target = sync_columns(current, batch)
-            losing: Days = set()
-            if not table.key_fixes_date:
-                # Only the key, the arrival and the partition column of the target are read here.
+            gaining, loose_days = {r[0] for r in counts if r.keyed}, {r[0] for r in counts if r.loose}
+            stored = self._with_files(name)
+            target = sync_columns(stored, batch.withColumn("_file", F.lit("")))
+            places: list = []
+            if gaining:
                 arrival = [c for c in (table.arrival,) if c in target.columns]
-                found = keep(with_keys_of(target.select(*table.keys, table.date_col, *arrival), keyed, table.keys), "found")
+                held = target.where(on_dates(day, self._dates_with(name, keyed, gaining))).select(*table.keys, day, "_file", *arrival)
+                found = keep(with_keys_of(held, keyed, table.keys), "found")
                 if search_back_days is not None:
                     self._check_bound(name, keyed, found, search_back_days)
                 if arrival:
@@ -267,21 +372,52 @@ class Lake:
                     if not older.isEmpty():
                         older = keep(older, "older")
                         keyed, found = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys)
-                losing = dates_of(found, table.date_col)
-            loose = keep(self._lacking(target, loose, table), "loose")
-            gaining = dates_of(keyed, table.date_col) | dates_of(loose, table.date_col)
-            touched = gaining | losing
-            rewritten = touched | set(self.partitions(name)) if self._retyped(name, batch) else touched
-            kept = without_keys_of(target.where(on_dates(table.date_col, rewritten)), keyed, table.keys)
-            emptied = losing - gaining
-            if emptied:
-                emptied -= dates_of(kept.where(on_dates(table.date_col, emptied)), table.date_col)
-            self._commit(name, kept.unionByName(keyed).unionByName(loose), emptied, touched)
+                        gaining = dates_of(keyed, day)
+                places += found.select(day, "_file").distinct().collect()  # a file each at most
+            content = list(content_of(target.drop("_file")))
+            if withdrawn is not None:
+                hit = target.where(on_dates(day, {r[0] for r in withdrawn.select("_day").distinct().collect()}))
+                hit = hit.withColumns(content_of(hit.drop("_file"))).join(withdrawn.select(*content), content, "left_semi")
+                places += hit.select(day, "_file").distinct().collect()
+            if gone is not None:
+                gone = keep(gone.select(*table.keys, *[c for c in (day,) if c not in table.keys]), "gone")
+                hit = with_keys_of(target.where(on_dates(day, dates_of(gone, day))), gone, table.keys)
+                places += hit.select(day, "_file").distinct().collect()
+            if loose_days:
+                loose = keep(self._lacking(target.drop("_file"), loose, table), "loose")
+                loose_days = dates_of(loose, day)
+            touched = gaining | loose_days | {r[0] for r in places}
+
+            def kept(rows: DataFrame) -> DataFrame:
+                rows = without_keys_of(sync_columns(rows, batch), keyed, table.keys)
+                if gone is not None:
+                    rows = without_keys_of(rows, gone, table.keys)
+                if withdrawn is None:
+                    return rows
+                copy = F.row_number().over(Window.partitionBy(*content).orderBy(*content))
+                counted = rows.withColumns(content_of(rows)).join(withdrawn.select(*content, "_copies"), content, "left")
+                return counted.withColumn("_copy", copy).where(F.col("_copies").isNull() | (F.col("_copy") > F.col("_copies"))).select(rows.columns)
+
+            new = keyed.unionByName(loose) if loose_days else keyed
+            if self._retyped(name, batch):
+                self._commit(name, kept(target.drop("_file")).unionByName(new), touched=touched, full=True, marks=marks)
+            elif touched or batch.columns != stored.columns[:-1]:
+                files = {r[1] for r in places} | self._crowded(name, gaining | loose_days)
+                old = [kept(self._read_files(name, files))] if files else []
+                self._commit(name, reduce(DataFrame.unionByName, [new, *old]), touched=touched, replaced_files=files, marks=marks)
         finally:
             for path in aside:
                 paths.remove(self.spark, path)
         return touched
 
+    def _dates_with(self, name: str, keyed: DataFrame, gaining: Days) -> Days:
+        """The partitions that may hold keys of the batch."""
+        if TABLES[name].key_fixes_date:
+            return gaining
+        if not self.index(name).exists():
+            self.index(name).build(self.read(name))
+        return self.index(name).dates(keyed)
+
     def _lacking(self, target: DataFrame, loose: DataFrame, table: Table) -> DataFrame:
         """Key-less rows that the table does not have yet; equal content means the same partition."""
         days = dates_of(loose, table.date_col)

@@ -25,6 +25,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly below ``path``."""
+    return [c for c in children(spark, path) if c[0] not in "._"]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = _fs(spark, path)
     fs.delete(where, True)
@@ -42,6 +47,17 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file; nothing to do when it was moved before."""
+    fs, here = _fs(spark, source)
+    _, there = _fs(spark, target)
+    if not fs.exists(here):
+        return
+    fs.mkdirs(there.getParent())
+    if not fs.rename(here, there):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def make(spark: SparkSession, path: str) -> None:
     fs, where = _fs(spark, path)
     fs.mkdirs(where)
@@ -55,7 +71,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    fs, where = _fs(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 # application id -> fallback folder of a local session
