@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -226,8 +228,12 @@ def value_tier(money: str) -> Column:
     )
 
 
-def recent_totals(mode: str = ROWS) -> dict[str, Column]:
-    """7- and 30-step sums of events, purchases, sessions and revenue, and the lifetime sums."""
+def recent_totals(mode: str = ROWS, columns: Sequence[str] = ()) -> dict[str, Column]:
+    """7- and 30-step sums of events, purchases, sessions and revenue, and the lifetime sums.
+
+    Rows that follow a carried state have their part of the lifetime sums in columns of its own.
+    """
+    ever = {n: f"_ever_{n}" if f"_ever_{n}" in columns else f"total_{n}" for n in ("events", "purchases", "revenue")}
     out = {}
     for n in (7, 30):
         out |= sums(
@@ -241,17 +247,21 @@ def recent_totals(mode: str = ROWS) -> dict[str, Column]:
         )
     return out | sums(
         lifetime("user_id", "date"),
-        lifetime_events="total_events",
-        lifetime_purchases="total_purchases",
-        lifetime_revenue="total_revenue",
+        **{f"lifetime_{n}": source for n, source in ever.items()},
     )
 
 
+def lifecycle_stage() -> Column:
+    days = F.col("days_since_registration")
+    # A user without a registration date counts as mature.
+    return F.when(days <= 7, "new").when(days <= 30, "recent").when(days <= 90, "established").otherwise("mature")
+
+
 def ml_features(metrics: DataFrame, as_of: AsOf, mode: str = ROWS) -> DataFrame:
     w7, w30 = (trailing("user_id", "date", n, mode) for n in (7, 30))
     age = F.datediff(as_of_date(as_of), F.col("date"))
     rolled = metrics.withColumns(
-        recent_totals(mode)
+        recent_totals(mode, metrics.columns)
         | {f"avg_revenue_last_{n}_days": F.avg("total_revenue").over(w) for n, w in ((7, w7), (30, w30))}
         | sums(
             w30,
@@ -268,16 +278,11 @@ def ml_features(metrics: DataFrame, as_of: AsOf, mode: str = ROWS) -> DataFrame:
         }
     )
     web, mobile = F.col("web_events_last_30_days"), F.col("mobile_events_last_30_days")
-    days = F.col("days_since_registration")
     derived = {
         "feature_date": F.col("date"),
         "days_since_last_event": age,
         "days_since_last_purchase": age,
-        # A user without a registration date counts as mature.
-        "lifecycle_stage": F.when(days <= 7, "new")
-        .when(days <= 30, "recent")
-        .when(days <= 90, "established")
-        .otherwise("mature"),
+        "lifecycle_stage": lifecycle_stage(),
         "value_tier": value_tier("lifetime_revenue"),
         "platform_diversity_score": ratio_or(F.least(web, mobile) * F.lit(2.0), web + mobile, 3, 0.0),
         "avg_days_between_purchases_30d": ratio_or(F.lit(30.0), F.col("purchases_last_30_days"), 1, 999.0),

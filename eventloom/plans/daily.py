@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Collection
+from functools import reduce
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.expressions import AsOf
-from eventloom.operators.keyed import has_key, latest_per_key, sync_columns, with_keys_of
-from eventloom.plans import curated, incremental, mart, staging
+from eventloom.operators.keyed import has_key, latest_per_key, sync_columns, with_keys_of, without_keys_of
+from eventloom.plans import carried, curated, incremental, mart, present, staging
 from eventloom.plans.assertions import check_models
 from eventloom.plans.views import dag_quality_check
 from eventloom.sources.catalog import TABLES
@@ -19,6 +21,12 @@ from eventloom.sources.lake import Lake, dates_of, on_dates
 ALL_CHECKS = ("unique_combination", "not_null_proportion", "accepted_values", "expression_is_true")
 
 
+def read(lake: Lake, name: str, as_of: AsOf) -> DataFrame:
+    """A stored model as of a run time: the ages that its rows carry follow the run."""
+    registered = lake.read("user_registrations") if name == "business_metrics" else None
+    return present.presented(name, lake.read(name), as_of, registered)
+
+
 class GateFailed(RuntimeError):
     """A layer broke assertions that the run enforces."""
 
@@ -53,8 +61,8 @@ def _stage_events(lake: Lake, as_of: AsOf, search_back_days: int | None) -> None
 
 
 def _stage_users(lake: Lake, as_of: AsOf) -> None:
-    """Stage the raw users whose partitions changed, without a date too; the event days of users that
-    the metrics see changed become pending there before the users are stored."""
+    """Stage the raw users whose partitions changed, without a date too.  The stored rows of users that
+    the models see changed are patched before the users are stored, so no crash can lose them."""
     days = lake.pending("stg_users")
     if days is None or days:
         raw = lake.read("users")
@@ -65,20 +73,43 @@ def _stage_users(lake: Lake, as_of: AsOf) -> None:
             raw = with_keys_of(raw, changed.where(has_key(keys)), keys).unionByName(changed.where(~has_key(keys)))
         staged = staging.stg_users(raw, as_of)
         if lake.exists("user_metrics"):
-            lake.add_pending("user_metrics", _days_of_changed(lake, staged))
+            _patch_users(lake, lake.materialise(staged, "staged-users"), as_of)
         lake.upsert("stg_users", staged)
         lake.settle("stg_users", days)
 
 
-def _days_of_changed(lake: Lake, staged: DataFrame) -> set | None:
-    """The event days of the users whose part in user_metrics these rows change; None: every day."""
-    if not lake.exists("stg_users"):
-        return None
+CONTEXT = ("country", "user_tier", "_registered")
+
+
+def _contexts(users: DataFrame) -> DataFrame:
+    """What the user days say of their users, without ages: those depend on the run."""
+    return curated.user_context(users.withColumn("days_since_registration", present.registered_on("processed_at"))).toDF("user_id", *CONTEXT)
+
+
+def _patch_users(lake: Lake, staged: DataFrame, as_of: AsOf) -> None:
+    """Replace the columns of changed users in all stored user days; no event is read.
+
+    The days are found from the user ids of the user days, only those are read, and only files that
+    hold such a row are written.  A user who is not valid any more loses the columns.
+    """
     table = TABLES["stg_users"]
     fresh = latest_per_key(staged, table.keys, table.newest_first).where(has_key(table.keys))
-    new, old = curated.user_context(fresh), curated.user_context(with_keys_of(sync_columns(lake.read("stg_users"), fresh), fresh, table.keys))
-    changed = new.subtract(old).unionAll(old.subtract(new)).select("user_id")
-    return {d for d in dates_of(with_keys_of(lake.read("stg_events").where("is_valid"), changed, ("user_id",)), "event_date") if d}
+    new, old = _contexts(fresh), _contexts(fresh.limit(0))
+    if lake.exists("stg_users"):
+        old = _contexts(with_keys_of(sync_columns(lake.read("stg_users"), fresh), fresh, table.keys))
+    ids = new.subtract(old).unionAll(old.subtract(new)).select("user_id").distinct()
+    changed = lake.materialise(ids.join(new, "user_id", "left"), "changed-users")
+    if changed.isEmpty():
+        return
+    days = dates_of(with_keys_of(lake.read("user_metrics").select("user_id", "date"), changed, ["user_id"]), "date")
+    for name in ("user_metrics", "ml_features", "user_analytics"):
+        if days and lake.exists(name):
+            day, stored = TABLES[name].date_col, lake.read(name)
+            rows = stored.where(on_dates(day, days)).drop("country", "user_tier").join(changed, "user_id")
+            age = F.datediff(F.to_date("last_updated"), F.col("_registered"))
+            rows = rows.withColumn("days_since_registration", age).select(stored.columns)
+            marks = ("business_metrics", "user_registrations") if name == "user_metrics" else ()
+            lake.upsert(name, present.presented(name, rows, as_of), marks=marks)
 
 
 def _stage_sessions(lake: Lake, as_of: AsOf) -> None:
@@ -107,6 +138,7 @@ class _Models:
     def __init__(self, lake: Lake, as_of: AsOf):
         self.lake, self.as_of = lake, as_of
         self.since: list[dt.date | None] = []  # first day stored anew, per model
+        self.state = carried.CarriedState(lake)
 
     def refresh(self, name: str, full: Callable[[], DataFrame], part: Callable[[set], tuple[DataFrame, set, set]]) -> None:
         """``part`` gives the new rows, the days that may be stored anew, and those of them that still have rows."""
@@ -123,11 +155,17 @@ class _Models:
 
     def user_metrics(self) -> None:
         lake = self.lake
-        events, users = lake.read("stg_events"), lake.read("stg_users")
+        events, users = lake.read("stg_events"), present.presented("stg_users", lake.read("stg_users"), self.as_of)
 
         def part(days: set):
             changed = events.where(on_dates("event_date", days))
-            return curated.user_metrics(changed, users, self.as_of), days, dates_of(changed.where("is_valid"), "event_date")
+            rows = curated.user_metrics(changed, users, self.as_of)
+            late = {d for d in days if self.state.upto and d <= self.state.upto}
+            if late:
+                rows = lake.materialise(rows, "user-days")
+                old = present.presented("user_metrics", lake.read("user_metrics").where(on_dates("date", late)), self.as_of)
+                self.state.note(old, rows.where(on_dates("date", late)))
+            return rows, days, dates_of(changed.where("is_valid"), "event_date")
 
         self.refresh("user_metrics", lambda: curated.user_metrics(events, users, self.as_of), part)
 
@@ -145,17 +183,59 @@ class _Models:
 
         self.refresh("event_metrics", lambda: curated.event_metrics(events, self.as_of), part)
 
-    def per_user(self, name: str, full: Callable, part: Callable) -> None:
-        """Models of rolling user days: a changed day changes all later rows of its users."""
+    def per_user(self, name: str, model: Callable[[DataFrame, AsOf], DataFrame]) -> None:
+        """Models of rolling user days: a changed day changes all later rows of its users, of no others."""
+        lake, days, day = self.lake, self.lake.pending(name), TABLES[name].date_col
+        dated = None if days is None else {d for d in days if d}
+        metrics = lake.read("user_metrics")
+        if dated is None:
+            lake.replace(name, model(metrics, self.as_of))
+            self.since.append(None)
+        elif dated:
+            part = carried.Slice(self.state, metrics, dated, lake.pending("user_windows") is not None)
+            fresh, late = part.rows(lambda rows: model(rows, self.as_of), day)
+            if late is not None:
+                late = lake.materialise(late, f"late-{name}")
+                earlier = (F.col(day) >= F.lit(min(part.late))) & (F.col(day) < F.lit(min(part.new)) if part.new else F.lit(True))
+                held = with_keys_of(lake.read(name).where(earlier).select("user_id", day), part.affected, ["user_id"])
+                lake.upsert(name, late, gone=without_keys_of(held, late, ["user_id", day]))
+            if fresh is not None:
+                live = {d for d in lake.partitions("user_metrics") if d and d >= min(part.new)}
+                scope = part.new | {d for d in lake.partitions(name) if d and d >= min(part.new)}
+                lake.replace_dates(name, fresh, [d for d in lake.partitions(name) if d in scope and d not in live], touched=scope | live)
+            self.since.append(min(dated))
+        lake.settle(name, days)
+
+    def carry(self) -> None:
+        """Take the new days into the carried state, once both models of rolling days have them."""
+        lake, days = self.lake, self.lake.pending("user_windows")
+        if any(lake.pending(n) is None or lake.pending(n) for n in ("ml_features", "user_analytics")):
+            return
+        metrics = lake.read("user_metrics")
+        dated = None if days is None else {d for d in days if d}
+        if dated is None:
+            self.state.rebuild(metrics, lake.watermark("user_metrics"))
+        elif dated:
+            part = carried.Slice(self.state, metrics, dated, True)
+            states, gone = [], None
+            if part.late:
+                states.append(carried.state_of(carried.with_ever(part.history())))
+                gone = without_keys_of(part.affected, part.history().select("user_id").distinct(), ["user_id"])
+            if part.new:
+                states.append(carried.state_of(part.following()))
+            upto = max(d for d in (lake.watermark("user_metrics"), self.state.upto) if d)
+            self.state.advance(reduce(DataFrame.unionByName, states), gone, upto)
+        self.state.forget()
+        lake.settle("user_windows", days)
+
+    def user_registrations(self) -> None:
         metrics = self.lake.read("user_metrics")
 
-        def later(days: set):
-            since = min(days)
-            live = {d for d in self.lake.partitions("user_metrics") if d and d >= since}
-            scope = days | live | {d for d in self.lake.partitions(name) if d and d >= since}
-            return part(metrics, since, self.as_of), scope, live
+        def part(days: set):
+            rows = metrics.where(on_dates("date", days))
+            return present.registrations(rows), days, {d for d in self.lake.partitions("user_metrics") if d in days}
 
-        self.refresh(name, lambda: full(metrics, self.as_of), later)
+        self.refresh("user_registrations", lambda: present.registrations(metrics), part)
 
     def business_metrics(self) -> None:
         metrics = self.lake.read("user_metrics")
@@ -170,6 +250,29 @@ class _Models:
         self.refresh("business_metrics", lambda: mart.business_metrics(metrics, self.as_of), part)
 
 
+def together(*steps: Callable[[], None]) -> None:
+    """Independent models at the same time: short jobs of one fill the gaps of another.  All end before
+    the first failure is raised."""
+    failed: list[BaseException] = []
+
+    def guarded(step: Callable[[], None]) -> Callable[[], None]:
+        def run() -> None:
+            try:
+                step()
+            except BaseException as e:  # handed to the caller below
+                failed.append(e)
+
+        return run
+
+    threads = [InheritableThread(target=guarded(step)) for step in steps]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if failed:
+        raise failed[0]
+
+
 def run_models(
     lake: Lake,
     as_of: AsOf,
@@ -192,17 +295,16 @@ def run_models(
 
     models = _Models(lake, as_of)
     models.user_metrics()
-    models.event_metrics()
-    models.per_user("ml_features", curated.ml_features, incremental.slice_ml_features)
+    together(models.event_metrics, lambda: models.per_user("ml_features", curated.ml_features))
     gate(lake, ("user_metrics", "event_metrics", "ml_features"), as_of, enforce, _oldest(models.since))
 
-    models.per_user("user_analytics", mart.user_analytics, incremental.slice_user_analytics)
-    models.business_metrics()
+    together(lambda: models.per_user("user_analytics", mart.user_analytics), models.business_metrics, models.user_registrations)
     gate(lake, ("user_analytics", "business_metrics"), as_of, enforce, _oldest(models.since))
+    models.carry()
 
-    events, users, metrics = lake.read("stg_events"), lake.read("stg_users"), lake.read("user_metrics")
+    events, users = lake.read("stg_events"), read(lake, "stg_users", as_of)
     if training:
-        lake.replace("ml_training", mart.ml_training(metrics, lake.read("ml_features"), events, as_of))
+        lake.replace("ml_training", mart.ml_training(read(lake, "user_metrics", as_of), read(lake, "ml_features", as_of), events, as_of))
     if expire_on is not None:
         for name in TABLES:
             if lake.exists(name):

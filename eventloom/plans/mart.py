@@ -68,7 +68,7 @@ def user_analytics(metrics: DataFrame, as_of: AsOf, mode: str = ROWS) -> DataFra
         "value_segment": value_tier("lifetime_revenue"),
         "churn_risk_status": churn,
     } | engagement_scores()
-    return metrics.withColumns(recent_totals(mode)).withColumns(derived).select(
+    return metrics.withColumns(recent_totals(mode, metrics.columns)).withColumns(derived).select(
         "user_id", "date", "country", "user_tier", "days_since_registration",
         "is_active_today", "is_active_this_week", "is_active_this_month",
         "total_events", "unique_event_types",

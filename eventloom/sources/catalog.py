@@ -40,6 +40,7 @@ _ALL = (
           newest_first=("ended_at", "started_at")),
     Table("user_metrics", "curated", "date", ("user_id", "date"), ("user_id",), 730),
     Table("event_metrics", "curated", "date", ("event_type", "date"), ("event_type",), 730),
+    Table("user_registrations", "curated", "date", ("date", "registered_on"), ("registered_on",), 730),
     Table("ml_features", "curated", "feature_date", ("user_id", "feature_date"), ("user_id",), 365),
     Table("user_analytics", "mart", "date", ("user_id", "date"), ("user_id", "user_tier"), 365),
     Table("business_metrics", "mart", "date", ("date",), ("date",), 1095),
@@ -54,5 +55,7 @@ DOWNSTREAM: dict[str, tuple[str, ...]] = {
     "users": ("stg_users",),
     "sessions": ("stg_sessions",),
     "stg_events": ("user_metrics", "event_metrics"),
-    "user_metrics": ("ml_features", "user_analytics", "business_metrics"),
+    "user_metrics": ("ml_features", "user_analytics", "business_metrics", "user_registrations", "user_windows"),
 }
+# Kept beside the tables, but catching up like one of them.
+STATES = ("user_windows",)

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from eventloom.functions.expressions import AsOf, as_of_date
 from eventloom.operators.keyed import content_of, has_key, latest_per_key, missing_copies, sync_columns, with_keys_of, without_keys_of
 from eventloom.sources import paths
-from eventloom.sources.catalog import DOWNSTREAM, TABLES, Table
+from eventloom.sources.catalog import DOWNSTREAM, STATES, TABLES, Table
 from eventloom.sources.key_index import KeyIndex
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
@@ -45,10 +45,10 @@ def spread(df: DataFrame, date_col: str, cluster: Sequence[str]) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, date_col: str, cluster: Sequence[str] = (), only_dates_present: bool = False
+    df: DataFrame, path: str, date_col: str, cluster: Sequence[str] = (), only_dates_present: bool = False, mode: str = "overwrite"
 ) -> None:
-    """Overwrite a table, or only the partitions that occur in ``df``."""
-    writer = spread(df, date_col, cluster).write.mode("overwrite").partitionBy(date_col)
+    """Overwrite a table, or only the partitions that occur in ``df``; or add files to it."""
+    writer = spread(df, date_col, cluster).write.mode(mode).partitionBy(date_col)
     writer.option("partitionOverwriteMode", "dynamic" if only_dates_present else "static").parquet(path)
 
 
@@ -124,7 +124,7 @@ class Lake:
 
     def pending(self, name: str) -> Days | None:
         """Days of the table above that changed since ``name`` last took them over; None: every day."""
-        if not self.exists(name) or not paths.exists(self.spark, self._pending_path(name)):
+        if not (name in STATES or self.exists(name)) or not paths.exists(self.spark, self._pending_path(name)):
             return None
         days = json.loads(paths.read_text(self.spark, self._pending_path(name)))
         return None if days is None else {d and dt.date.fromisoformat(d) for d in days}
@@ -156,6 +156,12 @@ class Lake:
     def index(self, name: str) -> KeyIndex:
         return KeyIndex(self.spark, self.root, TABLES[name])
 
+    def _stage(self, name: str, df: DataFrame, staged: str | None = None) -> str:
+        """Write rows in the layout of the table beside it, or add them to what is there already."""
+        where = staged or f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
+        write_table(df, where, TABLES[name].date_col, TABLES[name].cluster, mode="append")
+        return where
+
     def _commit(
         self,
         name: str,
@@ -165,6 +171,7 @@ class Lake:
         full: bool = False,
         replaced_files: Iterable[str] | None = None,
         marks: Sequence[str] | None = None,
+        staged: str | None = None,
     ) -> None:
         """Swap in the partitions of ``df`` and drop those in ``gone`` (all others, with ``full``).
 
@@ -173,10 +180,10 @@ class Lake:
         swapped.  A job lost before the journal leaves the table as it was; one lost after it is
         finished by the next access.  Readers may see some partitions new and some old while the swap
         runs.  ``marks`` names the models for which the days become pending, by default all below.
+        ``staged`` is where the rows of ``df`` have been written already.
         """
         table = TABLES[name]
-        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
-        write_table(df, staged, table.date_col, table.cluster)
+        staged = staged or self._stage(name, df)
         prefix = f"{table.date_col}="
         new = [c for c in paths.children(self.spark, staged) if c.startswith(prefix)]
         nullable = StructType([type(f)(f.name, f.dataType, True) for f in df.schema])
@@ -267,21 +274,20 @@ class Lake:
         """
         table = TABLES[name]
         where, contents = f"{self._ledger(name)}/delivery={delivery}", ["_content1", "_content2"]
-        rows = self.materialise(rows, f"delivery-{name}")
         keys = [F.first(k).alias(k) for k in table.keys]
         brought = rows.withColumns(content_of(rows)).groupBy(*contents).agg(*keys, F.first(table.date_col).alias("_day"), F.count("*").alias("_copies"))
+        if not paths.exists(self.spark, where):
+            brought.write.parquet(where)
+            return self.upsert(name, rows)
         brought = self.materialise(brought, f"brought-{name}")
-        withdrawn = None
-        if paths.exists(self.spark, where):
-            before = self.spark.read.schema(brought.schema).parquet(where).groupBy(*contents).agg(*keys, F.first("_day").alias("_day"), F.max("_copies").alias("_before"))
-            left = F.col("_before") - F.coalesce("_copies", F.lit(0))
-            lacking = before.join(brought.select(*contents, "_copies"), contents, "left").withColumn("_copies", left).where("_copies > 0").drop("_before")
-            # A key that the delivery still holds is replaced or kept by the rules of the upsert.
-            withdrawn = self.materialise(lacking.where(~has_key(table.keys)).unionByName(without_keys_of(lacking.where(has_key(table.keys)), rows, table.keys)), f"withdrawn-{name}")
-            if withdrawn.isEmpty():
-                withdrawn = None
+        before = self.spark.read.schema(brought.schema).parquet(where).groupBy(*contents).agg(*keys, F.first("_day").alias("_day"), F.max("_copies").alias("_before"))
+        left = F.col("_before") - F.coalesce("_copies", F.lit(0))
+        lacking = before.join(brought.select(*contents, "_copies"), contents, "left").withColumn("_copies", left).where("_copies > 0").drop("_before")
+        # A key that the delivery still holds is replaced or kept by the rules of the upsert.
+        lacking = lacking.where(~has_key(table.keys)).unionByName(without_keys_of(lacking.where(has_key(table.keys)), rows, table.keys))
+        withdrawn = self.materialise(lacking, f"withdrawn-{name}")
         brought.write.mode("append").parquet(where)
-        touched = self.upsert(name, rows, withdrawn=withdrawn)
+        touched = self.upsert(name, rows, withdrawn=None if withdrawn.isEmpty() else withdrawn)
         fresh = f"{self.root}/_staged/ledger-{uuid.uuid4().hex}"
         brought.write.parquet(fresh)
         paths.replace(self.spark, fresh, where)
@@ -343,8 +349,9 @@ class Lake:
         if not self.exists(name):
             self.replace(name, batch)
             return set(self.partitions(name))
-        aside: list[str] = []
-        day = table.date_col
+        day, order = table.date_col, batch.columns
+        staged = self._stage(name, batch)
+        aside = [staged]
 
         def keep(df: DataFrame, label: str) -> DataFrame:  # used several times below
             aside.append(paths.scratch_dir(self.spark, f"upsert-{name}-{label}"))
@@ -352,7 +359,8 @@ class Lake:
             return self.spark.read.schema(df.schema).parquet(aside[-1])
 
         try:
-            batch = keep(batch, "batch")
+            # Most batches go in as they are: they are written once, in the layout of the table.
+            batch = self.spark.read.schema(batch.schema).parquet(staged).select(*order)
             # One row per partition date of the batch.
             counts = batch.groupBy(day).agg(F.count_if(has_key(table.keys)).alias("keyed"), F.count_if(~has_key(table.keys)).alias("loose")).collect()
             keyed, loose = batch.where(has_key(table.keys)), batch.where(~has_key(table.keys))
@@ -360,9 +368,11 @@ class Lake:
             stored = self._with_files(name)
             target = sync_columns(stored, batch.withColumn("_file", F.lit("")))
             places: list = []
-            if gaining:
+            whole = True  # every row of the batch goes in
+            candidates = self._dates_with(name, keyed, gaining) if gaining else set()
+            if candidates:
                 arrival = [c for c in (table.arrival,) if c in target.columns]
-                held = target.where(on_dates(day, self._dates_with(name, keyed, gaining))).select(*table.keys, day, "_file", *arrival)
+                held = target.where(on_dates(day, candidates)).select(*table.keys, day, "_file", *arrival)
                 found = keep(with_keys_of(held, keyed, table.keys), "found")
                 if search_back_days is not None:
                     self._check_bound(name, keyed, found, search_back_days)
@@ -371,10 +381,10 @@ class Lake:
                     older = found.join(arrived, list(table.keys)).where(F.col(arrival[0]) > F.col("_arrived")).select(*table.keys).distinct()
                     if not older.isEmpty():
                         older = keep(older, "older")
-                        keyed, found = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys)
+                        keyed, found, whole = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys), False
                         gaining = dates_of(keyed, day)
                 places += found.select(day, "_file").distinct().collect()  # a file each at most
-            content = list(content_of(target.drop("_file")))
+            content = list(content_of(batch))
             if withdrawn is not None:
                 hit = target.where(on_dates(day, {r[0] for r in withdrawn.select("_day").distinct().collect()}))
                 hit = hit.withColumns(content_of(hit.drop("_file"))).join(withdrawn.select(*content), content, "left_semi")
@@ -384,7 +394,7 @@ class Lake:
                 hit = with_keys_of(target.where(on_dates(day, dates_of(gone, day))), gone, table.keys)
                 places += hit.select(day, "_file").distinct().collect()
             if loose_days:
-                loose = keep(self._lacking(target.drop("_file"), loose, table), "loose")
+                loose, whole = keep(self._lacking(target.drop("_file"), loose, table), "loose"), False
                 loose_days = dates_of(loose, day)
             touched = gaining | loose_days | {r[0] for r in places}
 
@@ -401,15 +411,26 @@ class Lake:
             new = keyed.unionByName(loose) if loose_days else keyed
             if self._retyped(name, batch):
                 self._commit(name, kept(target.drop("_file")).unionByName(new), touched=touched, full=True, marks=marks)
-            elif touched or batch.columns != stored.columns[:-1]:
+            elif touched or order != stored.columns[:-1]:
                 files = {r[1] for r in places} | self._crowded(name, gaining | loose_days)
-                old = [kept(self._read_files(name, files))] if files else []
-                self._commit(name, reduce(DataFrame.unionByName, [new, *old]), touched=touched, replaced_files=files, marks=marks)
+                rewritten = kept(self._read_files(name, files)) if files else None
+                ready = None if whole else self._stage(name, new if rewritten is None else new.unionByName(rewritten))
+                if whole and rewritten is not None:
+                    # Files are named by the job that wrote them: both jobs write into one place.
+                    extra = self._stage(name, rewritten)
+                    self._merge_staged(extra, staged)
+                self._commit(name, batch, touched=touched, replaced_files=files, marks=marks, staged=ready or staged)
         finally:
             for path in aside:
                 paths.remove(self.spark, path)
         return touched
 
+    def _merge_staged(self, source: str, target: str) -> None:
+        for child in paths.children(self.spark, source):
+            for file in paths.files(self.spark, f"{source}/{child}") if "=" in child else ():
+                paths.move(self.spark, f"{source}/{child}/{file}", f"{target}/{child}/{file}")
+        paths.remove(self.spark, source)
+
     def _dates_with(self, name: str, keyed: DataFrame, gaining: Days) -> Days:
         """The partitions that may hold keys of the batch."""
         if TABLES[name].key_fixes_date:

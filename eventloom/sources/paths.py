@@ -8,10 +8,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# application id -> (the path class, the configuration): looking them up costs several calls each time
+_HADOOP: dict[str, tuple] = {}
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+    app = spark.sparkContext.applicationId
+    if app not in _HADOOP:
+        _HADOOP[app] = (spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration())
+    kind, configuration = _HADOOP[app]
+    where = kind(path)
+    return where.getFileSystem(configuration), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
