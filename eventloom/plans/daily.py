@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.expressions import AsOf
-from eventloom.operators.keyed import has_key, latest_per_key, sync_columns, with_keys_of, without_keys_of
+from eventloom.operators.keyed import content_of, has_key, latest_per_key, sync_columns, with_keys_of, without_keys_of
 from eventloom.plans import carried, curated, incremental, mart, present, staging
 from eventloom.plans.assertions import check_models
 from eventloom.plans.views import dag_quality_check
@@ -51,12 +51,23 @@ def gate(lake: Lake, names: Collection[str], as_of: AsOf, enforce: Collection[st
 
 
 def _stage_events(lake: Lake, as_of: AsOf, search_back_days: int | None) -> None:
-    """Stage the raw days that changed, whatever their date: late rows, corrections, rows without one."""
+    """Stage the raw days that changed, whatever their date: late rows, corrections, rows without one.
+    Rows that a delivery took back leave the staged days too."""
     days = lake.pending("stg_events")
     if days is None or days:
         raw = lake.read("events")
-        fresh = raw if days is None else raw.where(on_dates("event_date", days))
-        lake.upsert("stg_events", staging.stg_events(fresh, as_of), search_back_days)
+        fresh = staging.stg_events(raw if days is None else raw.where(on_dates("event_date", days)), as_of)
+        held = set(lake.partitions("stg_events")) if days is not None else set()
+        gone = withdrawn = None
+        if days is not None and days & held:
+            keys, stored = TABLES["stg_events"].keys, lake.read("stg_events").where(on_dates("event_date", days & held))
+            gone = without_keys_of(stored.where(has_key(keys)), fresh, keys).select(*keys, "event_date")
+            content, synced = list(content_of(fresh)), sync_columns(stored, fresh)
+            loose = [x.where(~has_key(keys)).withColumns(content_of(fresh)).select(*content, F.col("event_date").alias("_day"), F.lit(n).alias("_copies")) for x, n in ((synced, 1), (fresh, -1))]
+            surplus = loose[0].unionAll(loose[1]).groupBy(*content).agg(F.max("_day").alias("_day"), F.sum("_copies").alias("_copies")).where("_copies > 0")
+            surplus = lake.materialise(surplus, "surplus-rows")
+            withdrawn = None if surplus.isEmpty() else surplus
+        lake.upsert("stg_events", fresh, search_back_days, withdrawn=withdrawn, gone=gone)
         lake.settle("stg_events", days)
 
 
@@ -187,7 +198,7 @@ class _Models:
         """Models of rolling user days: a changed day changes all later rows of its users, of no others."""
         lake, days, day = self.lake, self.lake.pending(name), TABLES[name].date_col
         dated = None if days is None else {d for d in days if d}
-        metrics = lake.read("user_metrics")
+        metrics = read(lake, "user_metrics", self.as_of)
         if dated is None:
             lake.replace(name, model(metrics, self.as_of))
             self.since.append(None)
@@ -238,7 +249,7 @@ class _Models:
         self.refresh("user_registrations", lambda: present.registrations(metrics), part)
 
     def business_metrics(self) -> None:
-        metrics = self.lake.read("user_metrics")
+        metrics = read(self.lake, "user_metrics", self.as_of)
 
         def part(days: set):
             known = [d for d in self.lake.partitions("user_metrics") if d]

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.expressions import AsOf
-from eventloom.operators.keyed import with_keys_of
 from eventloom.plans import curated, mart
 
 
@@ -50,22 +49,6 @@ def patch_event_metrics(changed: DataFrame, stored: DataFrame, days: set[dt.date
     return curated.with_event_growth(everything, as_of).where(F.col("date") >= F.lit(since))
 
 
-def _history_of_active(metrics: DataFrame, since: dt.date) -> DataFrame:
-    """All days of the users active in the slice; the rolling and lifetime sums need them."""
-    active = metrics.where(F.col("date") >= F.lit(since))
-    return with_keys_of(metrics, active, ["user_id"])
-
-
-def slice_ml_features(metrics: DataFrame, since: dt.date, as_of: AsOf) -> DataFrame:
-    out = curated.ml_features(_history_of_active(metrics, since), as_of)
-    return out.where(F.col("feature_date") >= F.lit(since))
-
-
-def slice_user_analytics(metrics: DataFrame, since: dt.date, as_of: AsOf) -> DataFrame:
-    out = mart.user_analytics(_history_of_active(metrics, since), as_of)
-    return out.where(F.col("date") >= F.lit(since))
-
-
 def business_bounds(since: dt.date, days: list[dt.date]) -> tuple[dt.date, dt.date]:
     """(first date to read, first date to emit) given the dates that exist.
 

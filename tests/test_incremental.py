@@ -1,11 +1,13 @@
 """Day-by-day runs end with the same tables as one full refresh."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.plans import curated, daily, incremental, mart, staging
+from eventloom.plans import carried, curated, daily, incremental, mart, staging
+from eventloom.sources import paths
 from eventloom.sources import star_schema as star
 from eventloom.sources.lake import Lake
 from tests.conftest import SF, rows_of
@@ -123,11 +125,11 @@ def test_crash_between_models_is_caught_up(spark, lake, monkeypatch):
     lake.replace("users", users)
     lake.replace("events", raw.where("event_date < DATE'2024-01-28'"))
     daily.run_models(lake, AS_OF, enforce=())
-    features = incremental.slice_ml_features
-    monkeypatch.setattr(incremental, "slice_ml_features", lambda *a: 1 / 0)
+    features = curated.ml_features
+    monkeypatch.setattr(curated, "ml_features", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         daily.run_day(lake, raw, dt.date(2024, 1, 28), AS_OF, enforce=())
-    monkeypatch.setattr(incremental, "slice_ml_features", features)
+    monkeypatch.setattr(curated, "ml_features", features)
     daily.run_day(lake, raw, dt.date(2024, 1, 29), AS_OF, enforce=(), training=True, expire_on=dt.date(2024, 1, 31))
     final = raw.where("event_date <= DATE'2024-01-29'")
     for name, df in full_refresh(staging.stg_events(final, AS_OF), staging.stg_users(users, AS_OF)).items():
@@ -165,3 +167,117 @@ def test_business_slice_equals_full(spark, since):
     _, emit = incremental.business_bounds(since, days)
     full = mart.business_metrics(metrics, AS_OF).where(F.col("date") >= F.lit(emit))
     assert settled(part) == settled(full)
+
+
+# --- moving run times, changed users, carried state ---------------------------------------------
+
+
+def presented_like_full(lake, events, people, as_of):
+    metrics = curated.user_metrics(events, people, as_of)
+    full = {
+        "stg_events": events,
+        "stg_users": people,
+        "user_metrics": metrics,
+        "event_metrics": curated.event_metrics(events, as_of),
+        "ml_features": curated.ml_features(metrics, as_of),
+        "user_analytics": mart.user_analytics(metrics, as_of),
+        "business_metrics": mart.business_metrics(metrics, as_of),
+    }
+    for name, df in full.items():
+        assert settled(daily.read(lake, name, as_of)) == settled(df), name
+
+
+def test_moving_run_time_retries_and_changed_users_end_as_a_full_refresh(spark, lake):
+    raw = star.raw_events(spark, SF).where("event_date BETWEEN DATE'2024-01-17' AND DATE'2024-01-26'").cache()
+    users = star.raw_users(spark, SF).cache()
+    number = F.pmod(F.xxhash64("user_id"), F.lit(5))
+    late = raw.where("event_date = DATE'2024-01-20' AND user_id IN ('1', '2', '3')")
+    lake.replace("users", users.where(number != 0).withColumn("country", F.when(number != 1, F.col("country"))))
+    lake.replace("events", raw.where("event_date < DATE'2024-01-24'").exceptAll(late))
+    daily.run_models(lake, "2024-01-24 06:00:00", enforce=())
+    daily.run_day(lake, raw, dt.date(2024, 1, 24), "2024-01-25 06:00:00", enforce=())
+    # Changed and new users; then late rows of two days, one of which is loaded again afterwards.
+    lake.upsert("users", users.where(number <= 1))
+    daily.run_day(lake, raw.exceptAll(raw.where("event_date = DATE'2024-01-25' AND user_id IN ('4', '5')")), dt.date(2024, 1, 25), "2024-01-26 06:00:00", enforce=())
+    lake.upsert("events", late.unionByName(raw.where("event_date = DATE'2024-01-25' AND user_id IN ('4', '5')")))
+    lake.append_day("events", raw, dt.date(2024, 1, 25))
+    daily.run_models(lake, "2024-01-26 18:00:00", enforce=())
+    daily.run_day(lake, raw, dt.date(2024, 1, 26), "2024-02-03 06:00:00", enforce=())
+    as_of = "2024-02-05 12:00:00"
+    presented_like_full(lake, staging.stg_events(raw, as_of), staging.stg_users(users, as_of), as_of)
+
+
+def test_withdrawn_rows_leave_the_features(spark, lake):
+    """A delivery loaded again without some users' rows: their days go, their later windows shrink."""
+    raw = star.raw_events(spark, SF).where("event_date BETWEEN DATE'2024-01-20' AND DATE'2024-01-24'").cache()
+    users = star.raw_users(spark, SF)
+    lake.replace("users", users)
+    lake.replace("events", raw.where("event_date < DATE'2024-01-22'"))
+    daily.run_models(lake, AS_OF, enforce=())
+    for day in (22, 23, 24):
+        daily.run_day(lake, raw, dt.date(2024, 1, day), AS_OF, enforce=())
+    left = raw.where("NOT (event_date = DATE'2024-01-22' AND user_id < '4')")
+    daily.run_day(lake, left, dt.date(2024, 1, 22), AS_OF, enforce=())
+    for name, df in full_refresh(staging.stg_events(left, AS_OF), staging.stg_users(users, AS_OF)).items():
+        assert settled(lake.read(name)) == settled(df), name
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def loaded(spark, lake):
+    raw = star.raw_events(spark, SF).where("event_date BETWEEN DATE'2024-01-20' AND DATE'2024-01-24'")
+    lake.replace("users", star.raw_users(spark, SF))
+    lake.replace("events", raw.where("event_date < DATE'2024-01-24'"))
+    daily.run_models(lake, AS_OF, enforce=())
+    return lake, raw
+
+
+def test_new_day_reads_the_state_and_the_day(loaded):
+    lake, raw = loaded
+    state = carried.CarriedState(lake)
+    assert state.upto == dt.date(2024, 1, 23)
+    day = dt.date(2024, 1, 24)
+    lake.append_day("events", raw, day)
+    events = lake.read("events").where(F.col("event_date") == F.lit(day))
+    new = curated.user_metrics(staging.stg_events(events, AS_OF), lake.read("stg_users"), AS_OF)
+    lake.replace_dates("user_metrics", new, touched={day})
+    part = carried.Slice(state, lake.read("user_metrics"), {day}, True)
+    fresh, late = part.rows(lambda rows: curated.ml_features(rows, AS_OF), "feature_date")
+    assert late is None
+    text = plan_of(fresh)
+    scans = re.findall(r"FileScan parquet \[(.*?)\].*?PartitionFilters: \[(.*?)\], PushedFilters", text)
+    metrics = [filters for columns, filters in scans if "date#" in columns]
+    state_scans = [columns for columns, _ in scans if "rows#" in columns]
+    assert metrics and all(re.search(r"date#\d+ > 2024-01-23", f) for f in metrics)
+    assert state_scans and len(scans) == len(metrics) + len(state_scans)
+
+
+def test_changed_user_is_patched_without_events(spark, loaded, monkeypatch):
+    lake, _ = loaded
+    read, seen = lake.read, []
+    monkeypatch.setattr(lake, "read", lambda name: seen.append(name) or read(name))
+    before = {f for d in paths.children(spark, lake.path("user_metrics")) if "=" in d for f in paths.files(spark, f"{lake.path('user_metrics')}/{d}")}
+    one = star.raw_users(spark, SF).where("user_id = (SELECT min(user_id) FROM VALUES ('1') AS t(user_id))").withColumn("country", F.lit("xx"))
+    lake.upsert("users", one)
+    seen.clear()
+    daily._stage_users(lake, AS_OF)
+    assert "stg_events" not in seen and "events" not in seen
+    for name in ("user_metrics", "ml_features", "user_analytics"):
+        countries = {(r.user_id == "1", r.country == "XX") for r in read(name).select("user_id", "country").collect()}
+        assert countries == {(True, True), (False, False)}, name
+    assert lake.pending("ml_features") == set() and lake.pending("business_metrics")
+    after = {f for d in paths.children(spark, lake.path("user_metrics")) if "=" in d for f in paths.files(spark, f"{lake.path('user_metrics')}/{d}")}
+    assert before - after and len(before - after) <= len({r[0] for r in read("user_metrics").where("user_id = '1'").select("date").collect()})
+
+
+def test_versions_of_the_state_are_merged(loaded, monkeypatch):
+    lake, raw = loaded
+    monkeypatch.setattr(carried, "MAX_VERSIONS", 1)
+    daily.run_day(lake, raw, dt.date(2024, 1, 24), AS_OF, enforce=())
+    state = carried.CarriedState(lake)
+    want = carried.state_of(carried.with_ever(lake.read("user_metrics"))).withColumn("_ever_revenue", F.round("_ever_revenue", 6))
+    got = state.read().withColumn("_ever_revenue", F.round("_ever_revenue", 6)).select(want.columns)
+    assert state.upto == dt.date(2024, 1, 24) and rows_of(got) == rows_of(want)
