@@ -7,7 +7,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import starts, stored, whole_groups
@@ -19,27 +19,26 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b) can reach.
 
     Alternates two steps until every node points at a root: each node hands its larger neighbours
-    its smallest one, then its smaller neighbours.  Every round is written to the shared folder.
+    its smallest one, then its smaller neighbours.  A step is one exchange; a link never becomes two.
+    Every round is written to the shared folder.
     """
-    pointing = stored(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), f"{label}-links"
-    )
+    pointing = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), f"{label}-links")
+    mine = Window.partitionBy("u")
     while not _settled(pointing):
-        both = pointing.select("u", "v").unionAll(pointing.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pointing = stored(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), f"{label}-links")
-    roots = pointing.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return pointing.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
+        both = pointing.unionAll(pointing.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.withColumn("m", F.least("u", F.min("v").over(mine))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.repartition("u").dropDuplicates(["u", "v"]).withColumn("m", F.min("v").over(mine))
+        pointing = stored(large.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")), f"{label}-links")
+    roots = pointing.select(F.col("v").alias("node"), F.col("v").alias("component"))
+    return pointing.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots).distinct()
 
 
 def _settled(pointing: DataFrame) -> bool:
-    ends = pointing.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("in"))
-    ends = ends.unionAll(pointing.select("v", F.lit(0), F.lit(1)))
-    nodes = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
-    return nodes.where("out > 1 or (out = 1 and in = 1)").isEmpty()
+    """Whether every node points at one other node at most, and only at nodes that point nowhere."""
+    ends = pointing.select(F.col("u").alias("n"), F.col("v").alias("out"), F.lit(0).alias("in"))
+    ends = ends.unionAll(pointing.select("v", F.lit(None).cast("binary"), F.lit(1)))
+    nodes = ends.groupBy("n").agg(F.min("out").alias("least"), F.max("out").alias("most"), F.max("in").alias("in"))
+    return nodes.where("least <> most or (least is not null and in = 1)").isEmpty()
 
 
 class Compared(Protocol):
@@ -50,17 +49,18 @@ class Compared(Protocol):
 
 
 def spanning(n: int, rows: Compared) -> list[tuple[int, int]]:
-    """Links that connect what is connected: each row is only compared with rows not yet reached."""
+    """Links from the first row of what is connected to all others of it: each row is only compared with
+    rows not yet reached."""
     left = np.arange(n)
     out: list[tuple[int, int]] = []
     while len(left) > 1:
-        queue, left = [int(left[0])], left[1:]
+        first = int(left[0])
+        queue, left = [first], left[1:]
         while queue and len(left):
-            one = queue.pop()
-            hit = rows.similar(one, left)
+            hit = rows.similar(queue.pop(), left)
             if hit.any():
                 found = left[hit].tolist()
-                out += [(one, x) for x in found]
+                out += [(first, x) for x in found]
                 queue += found
                 left = left[~hit]
     return out
@@ -112,13 +112,13 @@ def linked(posts: DataFrame, payloads: DataFrame, compare: Callable[[list], Comp
 
     def across(batches):
         for table in whole_groups(batches, ["group", "i", "j"]):
-            nodes, loads, side, marks = (table.column(c) for c in ("node", "payload", "side", "component"))
-            nodes, side, marks = nodes.to_pylist(), np.array(side.to_pylist()), marks.to_pylist()
+            loads, side, marks = (table.column(c) for c in ("payload", "side", "component"))
+            side, marks = np.array(side.to_pylist()), marks.to_pylist()
             edges = starts(table, ["group", "i", "j"])
             for i, j in zip(edges, [*edges[1:], table.num_rows], strict=True):
                 strays, members = np.flatnonzero(side[i:j] == 0), np.flatnonzero(side[i:j] == 1)
                 if len(strays) and len(members) and (links := bridging(strays, members, marks[i:j], compare(loads[i:j]))):
-                    yield _edges(nodes[i:j], links)
+                    yield _edges(marks[i:j], links)  # components of the first phase are the nodes of the second
 
     loaded = placed.join(payloads.select("node", "payload"), "node").select("group", "block", "node", "payload")
     first = loaded.repartition("group", "block").sortWithinPartitions("group", "block", "node").mapInArrow(within, EDGE)
@@ -143,4 +143,8 @@ def linked(posts: DataFrame, payloads: DataFrame, compare: Callable[[list], Comp
     members = rows.select("group", upto("stray_blocks").alias("i"), at("blocks").alias("j"), F.lit(1).alias("side"), "node", "component")
     met = strays.unionAll(members).join(payloads.select("node", "payload"), "node")
     second = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "node").mapInArrow(across, EDGE)
-    return stored(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(second), label), f"{label}-known")
+    joined = stored(components(second, label).select(F.col("node").alias("part"), F.col("component").alias("whole")), f"{label}-joined")
+    # A row that was alone in the first phase is a component of itself.
+    alone = joined.join(known, joined["part"] == known["node"], "left_anti").select(F.col("part").alias("node"), F.col("whole").alias("component"))
+    merged = known.join(joined, known["component"] == joined["part"], "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return stored(merged.unionAll(alone), f"{label}-known")
