@@ -846,5 +846,24 @@ GROUP BY user_id, s"""
 O["batch_sessions"] = statement(_GAPS, "good")
 O["stream_sessions"] = statement(
     f"SELECT * FROM gaps WHERE ended_at + INTERVAL 30 MINUTE <= {_MARK}", "good", gaps=_GAPS)
+O["stream_sessions_live"] = O["batch_sessions"]
+O["stream_event_metrics_live"] = statement(
+    f"""SELECT event_type, event_date AS date, count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
+       round(coalesce(sum(amount) FILTER ({_PAID}), 0.0::DOUBLE), 6) AS total_revenue,
+       count(*) FILTER (event_type = 'purchase') AS total_purchases
+FROM good GROUP BY ALL""", "good")
+O["expire_partitions"] = over(GAPS, "SELECT * FROM raw_events WHERE coalesce(DATE '2031-01-10' - event_date <= 2555, TRUE)")
+O["schema_sync_stored"] = statement(
+    """SELECT * EXCLUDE (timezone), CASE WHEN user_date >= DATE '2024-01-10' THEN 1.5::DOUBLE ELSE CAST(length(user_id) AS DOUBLE) END AS score,
+       CASE WHEN user_date >= DATE '2024-01-10' THEN 'en' END AS locale FROM raw_users""", "raw_users")
+O["daily_run_moving"] = statement(" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, CAST({day} AS VARCHAR) AS day, count(*) AS n_rows, CAST({measure} AS BIGINT) AS measure FROM {cte} GROUP BY 2"
+    for table, cte, day, measure in (
+        ("stg_users", "us", "user_date", "sum(days_since_registration)"),
+        ("user_metrics", "um", "date", "sum(total_events) + sum(coalesce(days_since_registration, 0)) + count(country)"),
+        ("ml_features", "mf", "feature_date", "sum(lifetime_events) + sum(days_since_last_event) + count(*) FILTER (lifecycle_stage = 'new') + count(user_tier)"),
+        ("user_analytics", "ua", "date", "sum(events_last_7_days) + sum(coalesce(days_since_registration, 0))"),
+        ("business_metrics", "bm", "date", "sum(new_users_this_month * 1000 + new_users_this_week * 100 + users_us)"),
+    )), "us", "um", "mf", "ua", "bm")
 
 ORACLES = O

@@ -7,7 +7,7 @@ stamps left out.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from eventloom.functions.expressions import rounded
 from eventloom.operators import quality as q
 from eventloom.operators.funnel import conversion_funnel
 from eventloom.operators.keyed import sync_columns
-from eventloom.operators.sessions import sessions_from_events
+from eventloom.operators.sessions import sessions_by_gap, sessions_from_events
 from eventloom.operators.windows import CALENDAR
 from eventloom.plans import assertions, curated, daily, mart, quality_report as report, staging, views
 from eventloom.sources import paths, readers, schemas
@@ -26,12 +26,14 @@ from eventloom.sources import star_schema as star
 from eventloom.sources.catalog import TABLES
 from eventloom.sources.lake import Lake, newer_than, newer_users, retain, write_table
 from eventloom.streaming import jobs
+from eventloom.streaming import partials as live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-01-31 00:00:00"
 RUN_DAY = dt.date(2024, 1, 31)
 BATCH_FROM = dt.date(2024, 1, 25)
+EXPIRE_ON = dt.date(2031, 1, 10)  # raw events are kept for seven years
 LOOKUP_USERS = ("1", "2", "3")
 FUNNEL = ("page_view", "click", "signup", "purchase")
 
@@ -572,8 +574,16 @@ def dq_business_rules(spark, folder):
     return report.business_rules(layers.events, layers.metrics, AS_OF)
 
 
+def _stored(spark: SparkSession, folder: str, names: Iterable[str]) -> Lake:
+    lake, layers = scratch_lake(spark), Layers(spark, folder)
+    models = layers.tables(*(n for n in names if n != "events"))
+    for name in names:
+        lake.replace(name, layers.raw_events if name == "events" else models[name])
+    return lake
+
+
 def _report(spark, folder) -> DataFrame:
-    return report.quality_report(Layers(spark, folder).tables(*report.FRESHNESS), AS_OF)
+    return report.lake_report(_stored(spark, folder, report.FRESHNESS), AS_OF)
 
 
 @query
@@ -590,17 +600,7 @@ def quality_alerts(spark, folder):
 
 @query
 def dq_layer_sla(spark, folder):
-    layers = Layers(spark, folder)
-    metrics = layers.metrics
-    return report.layer_slas(
-        {
-            "raw": ("events", layers.raw_events, "event_timestamp"),
-            "staging": ("stg_events", layers.events, "event_timestamp"),
-            "curated": ("user_metrics", metrics, "date"),
-            "mart": ("business_metrics", mart.business_metrics(metrics, AS_OF), "date"),
-        },
-        AS_OF,
-    )
+    return report.lake_slas(_stored(spark, folder, [t for t, _ in report.LAYERS.values()]), AS_OF)
 
 
 @query
@@ -658,4 +658,86 @@ def stream_sessions(spark, folder):
 
 @query
 def batch_sessions(spark, folder):
-    return jobs.user_sessions(Layers(spark, folder).events)
+    return sessions_by_gap(Layers(spark, folder).events.where("is_valid"))
+
+
+def _live(spark: SparkSession, folder: str, partials: Callable[[SparkSession, str], live.Partials]) -> live.Partials:
+    """The stream in two runs over the same checkpoint, its first batch delivered again in between."""
+    base = paths.scratch_dir(spark, "live")
+    found = partials(spark, f"{base}/parts")
+    staged = staging.stg_events(event_stream(spark, folder), AS_OF)
+    for _ in range(2):
+        found.run(staged, f"{base}/checkpoint").awaitTermination()
+        found.land(Layers(spark, folder).events, 0)
+    return found
+
+
+@query
+def stream_event_metrics_live(spark, folder):
+    """Daily metrics of a stream with the days that are still open."""
+    return comparable(live.daily_type_metrics(_live(spark, folder, live.type_users)))
+
+
+@query
+def stream_sessions_live(spark, folder):
+    """Sessions of a stream with those that are still open."""
+    return live.user_sessions(_live(spark, folder, live.user_activity))
+
+
+# --- maintenance that changes stored tables ------------------------------------------------------
+
+
+@query
+def expire_partitions(spark, folder):
+    """What is left of the stored events once partitions past their retention are dropped."""
+    lake = scratch_lake(spark)
+    lake.replace("events", star.with_gaps(star.raw_events(spark, folder)))
+    lake.expire("events", EXPIRE_ON)
+    return lake.read("events")
+
+
+@query
+def schema_sync_stored(spark, folder):
+    """A stored table takes a column more, one less and one of another type from an upsert of some rows."""
+    lake, raw = scratch_lake(spark), star.raw_users(spark, folder)
+    lake.replace("users", raw.withColumn("score", F.length("user_id")))
+    some = raw.where("user_date >= DATE'2024-01-10'").drop("timezone").withColumns({"score": F.lit(1.5), "locale": F.lit("en")})
+    lake.upsert("users", some)
+    return lake.read("users").withColumn("score", rounded(F.col("score"), 6))
+
+
+MOVING = {
+    "stg_users": ("user_date", "sum(days_since_registration)"),
+    "user_metrics": ("date", "sum(total_events) + sum(coalesce(days_since_registration, 0)) + count(country)"),
+    "ml_features": ("feature_date", "sum(lifetime_events) + sum(days_since_last_event) + count_if(lifecycle_stage = 'new') + count(user_tier)"),
+    "user_analytics": ("date", "sum(events_last_7_days) + sum(coalesce(days_since_registration, 0))"),
+    "business_metrics": ("date", "sum(new_users_this_month * 1000 + new_users_this_week * 100 + users_us)"),
+}
+
+
+@query
+def daily_run_moving(spark, folder):
+    """Daily runs, each at its own time: late rows, a load that is retried after them, changed users; then
+    every model as of the last run time, per day, as a full refresh at that time gives it."""
+    lake, raw = scratch_lake(spark), star.raw_events(spark, folder)
+    users = lake.materialise(star.raw_users(spark, folder).withColumn("_n", F.pmod(F.xxhash64("user_id"), F.lit(5))), "users")
+    late = raw.where("event_date = DATE'2024-01-20' AND CAST(event_id AS BIGINT) % 5 = 0")
+    lake.replace("users", users.where("_n != 0").withColumn("country", F.when(F.col("_n") != 1, F.col("country"))).drop("_n"))
+    lake.replace("events", raw.where("event_date < DATE'2024-01-28'").join(late.select("event_id"), "event_id", "left_anti").select(raw.columns))
+    daily.run_models(lake, "2024-01-28 06:00:00", enforce=())
+    lake.append_day("events", raw.where("CAST(event_id AS BIGINT) % 4 <> 0"), dt.date(2024, 1, 28))
+    lake.upsert("users", users.where("_n <= 1").drop("_n"))
+    daily.run_models(lake, "2024-01-29 06:00:00", enforce=())
+    lake.upsert("events", late.unionByName(raw.where("event_date = DATE'2024-01-28' AND CAST(event_id AS BIGINT) % 4 = 0")))
+    lake.append_day("events", raw.where("CAST(event_id AS BIGINT) % 4 <> 0"), dt.date(2024, 1, 28))
+    for day in (29, 30):
+        lake.append_day("events", raw, dt.date(2024, 1, day))
+    daily.run_models(lake, "2024-01-30 18:00:00", enforce=())
+    found = [
+        daily.read(lake, name, AS_OF)
+        .groupBy(F.col(day).cast("string").alias("day"))
+        .agg(F.count("*").alias("n_rows"), F.expr(measure).cast("long").alias("measure"))
+        .select(F.lit(name).alias("table_name"), "day", "n_rows", "measure")
+        for name, (day, measure) in MOVING.items()
+    ]
+    return reduce(DataFrame.unionAll, found)

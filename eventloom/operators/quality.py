@@ -96,9 +96,20 @@ def null_profile(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame
 
 
 def duplicate_rows(df: DataFrame, table: str) -> DataFrame:
-    """Whole-row duplicates.  Grouping treats NULLs as equal, count(distinct *) would skip them."""
-    copies = df.groupBy(*df.columns).agg(rows().alias("n"))
-    return copies.agg(
+    """Whole-row duplicates.  Grouping treats NULLs as equal, count(distinct *) would skip them.
+
+    Shuffled are two hashes per row; whole rows only where both are shared, so that a collision is told
+    from a copy.
+    """
+    kinds = dict(df.dtypes)
+    # Grouping takes -0.0 for 0.0, the hash would not.
+    said = [F.col(c) + F.lit(0.0).cast(kinds[c]) if kinds[c] in ("double", "float") else F.col(c) for c in df.columns]
+    flags = [F.col(c).isNull() for c in df.columns]
+    hashes = {f"_hash{seed}": F.xxhash64(F.lit(seed), *said, *flags) for seed in (1, 2)}
+    groups = df.select(*[h.alias(n) for n, h in hashes.items()]).groupBy(*hashes).agg(rows().alias("n"))
+    shared = df.withColumns(hashes).join(groups.where("n > 1").select(*hashes), list(hashes), "left_semi")
+    copies = shared.groupBy(*hashes, *df.columns).agg(rows().alias("n")).select("n")
+    return groups.where("n = 1").select("n").unionAll(copies).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count("n").alias("unique_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_count"),

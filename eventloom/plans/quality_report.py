@@ -12,6 +12,7 @@ from eventloom.functions.expressions import AsOf, as_of_date, as_of_ts, blank
 from eventloom.functions.measures import rows
 from eventloom.operators import quality as q
 from eventloom.plans.views import on_previous_day
+from eventloom.sources.lake import Lake
 from eventloom.sources.schemas import EMAIL_PATTERN, EVENT_TYPES
 
 CRITICAL = ("user_id", "event_id", "event_type", "event_timestamp")
@@ -131,8 +132,12 @@ def business_rules(events: DataFrame, metrics: DataFrame, as_of: AsOf) -> DataFr
     return entries(from_metrics).unionByName(entries(from_events))
 
 
-def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf) -> DataFrame:
-    """All monitor checks as (check_name, item, value, status)."""
+def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf, newest: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """All monitor checks as (check_name, item, value, status).
+
+    ``newest`` holds what is enough of each table for its newest value; everything else looks at the
+    previous day alone.
+    """
     events, users = tables["stg_events"], tables["stg_users"]
 
     def shaped(df: DataFrame, name: Column, item: Column, value: Column, status: Column) -> DataFrame:
@@ -142,7 +147,7 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf) -> DataFrame:
 
     ok = F.lit("success")
     fresh = shaped(
-        freshness_report(tables, as_of), F.concat("table_name", F.lit("_freshness")),
+        freshness_report(newest or tables, as_of), F.concat("table_name", F.lit("_freshness")),
         F.lit("hours_behind"), F.col("hours_behind"), F.col("status"),
     )
     nulls = shaped(
@@ -160,6 +165,11 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: AsOf) -> DataFrame:
     return reduce(DataFrame.unionByName, [fresh, nulls, copies, rules])
 
 
+def lake_report(lake: Lake, as_of: AsOf) -> DataFrame:
+    """The report of stored tables: it reads the previous day and the newest partition of each."""
+    return quality_report({n: lake.read(n) for n in FRESHNESS}, as_of, {n: lake.newest(n) for n in FRESHNESS})
+
+
 def alerts(report: DataFrame) -> DataFrame:
     return report.where(F.col("status") != "success")
 
@@ -168,6 +178,20 @@ def save_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+# Layer -> its table and the column that says how far it has come; both fix the partition date.
+LAYERS = {
+    "raw": ("events", "event_timestamp"),
+    "staging": ("stg_events", "event_timestamp"),
+    "curated": ("user_metrics", "date"),
+    "mart": ("business_metrics", "date"),
+}
+
+
+def lake_slas(lake: Lake, as_of: AsOf) -> DataFrame:
+    """The lag of every layer of stored tables, from the newest partition of each."""
+    return layer_slas({layer: (t, lake.newest(t), c) for layer, (t, c) in LAYERS.items()}, as_of)
+
+
 def layer_slas(tables: Mapping[str, tuple[str, DataFrame, str]], as_of: AsOf) -> DataFrame:
     """{layer: (table name, table, time column)} against the layer's allowed lag."""
     parts = [q.layer_sla(df, layer, t, c, as_of, LAYER_SLA[layer]) for layer, (t, df, c) in tables.items()]

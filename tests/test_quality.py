@@ -1,14 +1,16 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.checks import queries
 from eventloom.operators import quality as q
 from eventloom.operators.funnel import conversion_funnel
 from eventloom.plans import assertions, quality_report as report, staging
 from eventloom.sources.catalog import TABLES
-from tests.conftest import AS_OF, make_events, make_users, rows_of
+from tests.conftest import AS_OF, SF, make_events, make_users, rows_of
 
 
 def test_starter_models(spark, tmp_path):
@@ -138,3 +140,23 @@ def test_funnel_against_brute_force(spark, seed):
 
 def test_every_model_is_a_known_table():
     assert set(assertions.MODELS) <= set(TABLES)
+
+
+def test_duplicates_shuffle_hashes_and_tell_collisions_from_copies(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, None, 0.0), (1, None, -0.0), (None, 1, 0.0), (2, 2, 1.0), (2, 2, 1.0), (3, 3, float("nan")), (3, 3, float("nan"))], "a int, b int, c double")
+    assert rows_of(q.duplicate_rows(rows, "t")) == [("t", 7, 4, 3)]
+    # Every row in one hash group: still counted by content.
+    monkeypatch.setattr(q.F, "xxhash64", lambda *a: q.F.lit(1))
+    assert rows_of(q.duplicate_rows(rows, "t")) == [("t", 7, 4, 3)]
+    monkeypatch.undo()
+    plan = q.duplicate_rows(rows, "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_hash1") > 4
+
+
+def test_reports_of_stored_tables_read_the_newest_partitions(spark):
+    lake = queries._stored(spark, SF, ["events", *report.FRESHNESS])
+    for df in (report.lake_slas(lake, queries.AS_OF), report.lake_report(lake, queries.AS_OF)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+        assert scans and all("(" in s or "=" in s for s in scans), scans  # each scan is bounded
+    assert rows_of(report.lake_slas(lake, queries.AS_OF)) == rows_of(report.layer_slas({k: (t, lake.read(t), c) for k, (t, c) in report.LAYERS.items()}, queries.AS_OF))
