@@ -19,14 +19,17 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b) can reach.
 
     Alternates two steps until every node points at a root: each node hands its larger neighbours
-    its smallest one, then its smaller neighbours.  A step is one exchange; a link never becomes two.
+    its smallest one, then its smaller neighbours.  A link never becomes two.
     Every round is written to the shared folder.
     """
     pointing = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), f"{label}-links")
     mine = Window.partitionBy("u")
     while not _settled(pointing):
         both = pointing.unionAll(pointing.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.withColumn("m", F.least("u", F.min("v").over(mine))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # The hub of a large component has very many neighbours: their least combines before the exchange, and
+        # the join back is one that adaptive execution splits.
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.repartition("u").dropDuplicates(["u", "v"]).withColumn("m", F.min("v").over(mine))
         pointing = stored(large.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")), f"{label}-links")
     roots = pointing.select(F.col("v").alias("node"), F.col("v").alias("component"))
