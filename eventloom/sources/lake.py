@@ -422,7 +422,9 @@ class Lake:
                 self._commit(name, batch, touched=touched, replaced_files=files, marks=marks, staged=ready or staged)
         finally:
             for path in aside:
-                paths.remove(self.spark, path)
+                # What a journal names is moved in by the next access.
+                if path != staged or not paths.exists(self.spark, self._journal_path(name)):
+                    paths.remove(self.spark, path)
         return touched
 
     def _merge_staged(self, source: str, target: str) -> None:
