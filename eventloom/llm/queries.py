@@ -34,11 +34,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 @query
 def op1_toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents that the last model of the chain finds toxic, with the probabilities of the chain."""
+    """The probabilities of the chain for every document, and whether the last model finds it toxic."""
     docs = table(spark, folder, "documents")
-    found = toxicity.scored(docs, toxicity.learned(docs, table(spark, folder, "labels")))
-    found = found.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
-    return found.where("toxic").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_insult", "p_contempt", "p_toxic", "toxic")
+    chain = toxicity.learned(docs, table(spark, folder, "labels"))
+    found = toxicity.scored(docs, chain)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p_quality", "p_toxic", (F.col("p_toxic") >= chain.threshold).alias("toxic"))
 
 
 @query

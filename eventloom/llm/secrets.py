@@ -3,8 +3,17 @@
 The fixed patterns label credentials.  From a bounded sample of them a prefix tree over character
 classes is built per kind, and states whose outgoing frequencies agree within a Hoeffding bound are
 merged into a probabilistic automaton.  Every run of credential characters in every text is then a
-candidate, scored by its likelihood under the automata against that under a background automaton
-learned from ordinary runs.  Runs that clear the threshold and touch no fixed span are added.
+candidate, scored by its likelihood under the automata against that under a background automaton,
+whose states are the last character class and whose counts come from all runs of all documents that
+touch no fixed span.  A run is added where it touches no fixed span, is likelier by THRESHOLD per
+character, and by enough in all that by chance FALSE ordinary runs of the whole corpus would be so
+(under the background a ratio of e^t has probability e^-t at most): short runs must be clearer, and
+more so in a larger corpus.  Credentials among the ordinary runs hardly move the background, whose
+classes rarely alternate.
+
+NULL and empty texts have no runs; without labelled credentials only the fixed patterns are used.
+Very long texts are read whole.  Repeated rows count as often as they occur.  A run that scores the
+same under two automata is one span.  Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,8 +39,12 @@ KEYWORDS = ("passw", "secret", "token", "api")
 SHORTEST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "grammar")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-SAMPLE = 400  # labelled credentials per kind, and twice as many ordinary runs, to learn from
+# Runs of the characters of an assigned credential, from its shortest length on; a full stop does not end one.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{5,}[A-Za-z0-9+/_=-]")
+SAMPLE = 400  # labelled credentials per kind to learn from
+THRESHOLD = 0.4  # nats per character
+FALSE = 1.0  # ordinary runs of the whole corpus, by chance
+CACHE = 50_000  # runs whose scores a task keeps
 ORDINARY = "ordinary"
 CONFIDENCE = 0.05  # of the compatibility test
 END = "$"
@@ -147,6 +160,29 @@ def credential(text: str, span: tuple[int, int, str]) -> str:
     return ASSIGN.match(run)[2] if span[2] == "assign" else run
 
 
+def pairs(runs: Counter) -> Counter:
+    """How often each class follows each other one, the end of a run included; the start is empty."""
+    out: Counter = Counter()
+    for run, n in runs.items():
+        symbols = classes(run)
+        for before, after in zip(["", *symbols], [*symbols, END]):
+            out[before + after] += n
+    return out
+
+
+def markov(counts: dict[str, int]) -> Automaton:
+    """The automaton whose state is the last class, from the counts of ``pairs``."""
+    symbols = sorted({k[-1] for k in counts} - {END})
+    state = {c: i for i, c in enumerate(["", *symbols])}
+    step: list[dict[str, int]] = [{} for _ in state]
+    count = [Counter() for _ in state]
+    for k, n in sorted(counts.items()):
+        count[state[k[:-1]]][k[-1]] += n
+        if k[-1] != END:
+            step[state[k[:-1]]][k[-1]] = state[k[-1]]
+    return Automaton(step, count)
+
+
 @dataclass(frozen=True)
 class Formats:
     """The automata by kind, the background automaton, and the score from which a run is a secret."""
@@ -154,77 +190,99 @@ class Formats:
     known: dict[str, Automaton]
     background: Automaton
     threshold: float
+    least: float  # log likelihood ratio of a whole run
 
     def score(self, run: str) -> float:
-        """Log likelihood ratio per character, the best kind against the background."""
+        """Log likelihood ratio per character, the best kind against the background; a short run counts
+        as one that is long enough for ``least`` at the threshold."""
         if not self.known:
             return -math.inf
         symbols = classes(run)
         best = max(a.log_likelihood(symbols) for a in self.known.values())
-        return (best - self.background.log_likelihood(symbols)) / len(run)
+        return (best - self.background.log_likelihood(symbols)) / max(len(run), self.least / self.threshold)
 
     @classmethod
     def learn(cls, labelled: list[tuple[str, str]], ordinary: list[str]) -> Formats:
-        """From (kind, credential) and ordinary runs.  Half of the ordinary runs set the threshold:
-        above all of them, so that none of them would be reported, and above one half anyway."""
+        """From (kind, credential) and ordinary runs."""
+        return cls.of(labelled, pairs(Counter(ordinary)))
+
+    @classmethod
+    def of(cls, labelled: list[tuple[str, str]], counts: dict[str, int]) -> Formats:
+        """From (kind, credential) and the class pairs of all ordinary runs."""
         by: dict[str, set[str]] = {}
         for kind, run in labelled:
             by.setdefault(kind, set()).add(run)
-        def first(runs: set[str], n: int) -> list[str]:
-            return sorted(runs, key=lambda r: (xxhash.xxh3_64_intdigest(r), r))[:n]
-
-        known = {k: infer(first(v, SAMPLE)) for k, v in sorted(by.items())}
-        plain = first(set(ordinary), 2 * SAMPLE)
-        formats = cls(known, infer(plain[::2]), 0.5)
-        top = max((formats.score(r) for r in plain[1::2]), default=0.0) if known else 0.0
-        return cls(known, formats.background, max(0.5, top + 0.1))
+        first = {k: sorted(v, key=lambda r: (xxhash.xxh3_64_intdigest(r), r))[:SAMPLE] for k, v in sorted(by.items())}
+        ordinary = sum(n for k, n in counts.items() if k[-1] == END)
+        return cls({k: infer(v) for k, v in first.items()}, markov(counts), THRESHOLD, math.log(max(ordinary, 1) / FALSE))
 
 
-def spans(text: str | None, formats: Formats | None) -> list[tuple[int, int, str]]:
-    """All spans of a text by start, then kind; base spans first of all, grammar spans beside them."""
+def spans(text: str | None, formats: Formats | None, scores: dict[str, float] | None = None) -> list[tuple[int, int, str]]:
+    """All spans of a text by start, then kind; base spans first of all, grammar spans beside them.
+    ``scores`` keeps the scores of runs from call to call."""
     if not text:
         return []
     base = base_spans(text)
     if formats is None or not formats.known:
         return base
+    scores = {} if scores is None else scores
     added = []
     for m in CANDIDATE.finditer(text):
-        if formats.score(m[0]) >= formats.threshold and not any(s < m.end() and m.start() < e for s, e, _ in base):
+        run = m[0]
+        if run not in scores:
+            if len(scores) >= CACHE:
+                scores.clear()
+            scores[run] = formats.score(run)
+        if scores[run] >= formats.threshold and not any(s < m.end() and m.start() < e for s, e, _ in base):
             added.append((m.start(), m.end(), "grammar"))
     return sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
 def _labelled(batches):
-    """(kind, h, run): of each task the runs with the smallest hashes per kind, ordinary ones too."""
+    """(kind, h, run, n): of each task the labelled runs with the smallest hashes per kind, and the
+    class pairs of all its ordinary runs with their counts."""
     by: dict[str, dict[str, int]] = {}
+    counts: Counter = Counter()
 
     def smallest(runs: dict[str, int]) -> dict[str, int]:
-        return dict(heapq.nsmallest(2 * SAMPLE, runs.items(), key=lambda x: (x[1], x[0])))
+        return dict(heapq.nsmallest(SAMPLE, runs.items(), key=lambda x: (x[1], x[0])))
 
     for batch in batches:
+        ordinary: Counter = Counter()
         for text in batch.column(0).to_pylist():
             base = base_spans(text) if text else []
-            found = [(span[2], credential(text, span)) for span in base]
-            found += [(ORDINARY, m[0]) for m in CANDIDATE.finditer(text or "") if not any(s < m.end() and m.start() < e for s, e, _ in base)]
-            for kind, run in found:
+            if base:
+                ordinary.update(m[0] for m in CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in base))
+            elif text:
+                ordinary.update(CANDIDATE.findall(text))
+            if len(ordinary) > CACHE:
+                counts += pairs(ordinary)
+                ordinary.clear()
+            for span in base:
+                kind, run = span[2], credential(text, span)
                 runs = by.setdefault(kind, {})
                 if run not in runs:
                     runs[run] = xxhash.xxh3_64_intdigest(run) >> 1
                     if len(runs) > 16 * SAMPLE:
                         by[kind] = smallest(runs)
-    rows = [(kind, h, run) for kind, runs in by.items() for run, h in smallest(runs).items()]
-    kinds, marks, runs = zip(*rows, strict=True) if rows else ((), (), ())
-    yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(marks, pa.int64()), pa.array(runs, pa.string())], names=["kind", "h", "run"])
+        counts += pairs(ordinary)
+    rows = [(kind, h, run, 0) for kind, runs in by.items() for run, h in smallest(runs).items()]
+    rows += [(ORDINARY, 0, k, n) for k, n in counts.items()]
+    kinds, marks, runs, ns = zip(*rows, strict=True) if rows else ((), (), (), ())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(kinds, pa.string()), pa.array(marks, pa.int64()), pa.array(runs, pa.string()), pa.array(ns, pa.int64())], names=["kind", "h", "run", "n"]
+    )
 
 
 def learned(docs: DataFrame, text: str = "text") -> Formats:
-    """Formats from all documents: per kind the distinct labelled runs with the smallest hashes, and
-    as many ordinary ones.  The sample is bounded by SAMPLE; hashes choose it, not the layout."""
-    found = docs.select(F.col(text).alias("_text")).mapInArrow(_labelled, "kind string, h long, run string").distinct()
+    """Formats from all documents: per kind the SAMPLE distinct labelled runs with the smallest hashes,
+    whatever the layout, and the class pairs of every ordinary run."""
+    found = docs.select(F.col(text).alias("_text")).mapInArrow(_labelled, "kind string, h long, run string, n long")
+    found = found.groupBy("kind", "h", "run").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("kind").orderBy("h", "run"))
-    chosen = found.withColumn("_n", rank).where(F.col("_n") <= 2 * SAMPLE).select("kind", "run").collect()
-    labelled = [(r.kind, r.run) for r in chosen if r.kind != ORDINARY]
-    return Formats.learn(labelled, [r.run for r in chosen if r.kind == ORDINARY])
+    # There are few classes, so few pairs; the credentials are cut to the sample.
+    chosen = found.withColumn("_n", rank).where((F.col("_n") <= SAMPLE) | (F.col("kind") == ORDINARY)).select("kind", "run", "n").collect()
+    return Formats.of([(r.kind, r.run) for r in chosen if r.kind != ORDINARY], {r.run: r.n for r in chosen if r.kind == ORDINARY})
 
 
 def scan(docs: DataFrame, formats: Formats | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
@@ -239,9 +297,10 @@ def scan(docs: DataFrame, formats: Formats | None, text: str = "text", carry: tu
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
+        scores: dict[str, float] = {}
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            found = [spans(t, formats) for t in texts]
+            found = [spans(t, formats, scores) for t in texts]
             listed = [[{"kind": k, "start": s, "end": e} for s, e, k in f] for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(1, batch.num_columns)]

@@ -1,8 +1,16 @@
 """Toxicity by a classifier chain.
 
-The categories are predicted one after the other by linear models over word occurrences.  A later
-model also sees the probabilities of all earlier categories.  In training these are out-of-fold
-predictions, so that it learns from probabilities as good as those it will meet.
+The categories are columns of the label table, predicted one after the other by linear models over word
+occurrences: quality first, then toxic.  The later model also sees the probabilities of all earlier
+categories.  In training these are out-of-fold predictions, so that it learns from probabilities as good
+as those it will meet.  The threshold is the one with the best F1 among the out-of-fold predictions of
+the last category; rows outside the training folds have no part in it.
+
+NULL and empty texts have no words and get what the models say of such a text.  Very long texts are read
+whole.  A document labelled several times belongs to a category if any label says so; a NULL earlier
+label counts as no.  Repeated rows are each scored; one of them trains.  Without labels, or with one
+value only, a model is a constant.  An empty table gives no rows.  Carried columns keep their names:
+``prefix`` is put before the new ones where they would clash.
 """
 
 from __future__ import annotations
@@ -18,19 +26,13 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import held_out, numbered
 
-# Seed words that split the labelled toxic documents into categories.
-SEEDS = {
-    "insult": ("clown", "idiot", "loser", "moron", "scum"),
-    "contempt": ("disgusting", "pathetic", "stupid", "trash", "worthless"),
-}
-CATEGORIES = (*SEEDS, "toxic")
-TRAIN_ROWS = 5000  # bound of the labelled sample
+CATEGORIES = ("quality", "toxic")  # columns of the labels, in chain order
+TRAIN_ROWS = 8000  # bound of the labelled sample
 FOLDS = 5
 TERMS = 200  # words and word beginnings a model may use
 BEGINNINGS = (4, 5)  # letters; they find inflected and compound words
 LEAST_DOCS = 8  # documents of the sample a word must occur in
 PENALTY = 0.2
-THRESHOLD = 0.35
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 100_000
 
@@ -50,9 +52,6 @@ def terms(text: str | None) -> set[int]:
     return {_mark(w) for w in words | begun}
 
 
-_SEED_MARKS = {k: frozenset(map(_mark, v)) for k, v in SEEDS.items()}
-
-
 @dataclass(frozen=True)
 class Linear:
     """A logistic model over selected words and the probabilities of earlier categories."""
@@ -114,6 +113,19 @@ def fit(rows: list[np.ndarray], y: np.ndarray, earlier: np.ndarray) -> Linear:
     return Linear(chosen, w[:k], w[k:-1], float(w[-1]))
 
 
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """Between the two probabilities where F1 is best; one half where nothing can be told."""
+    at = np.argsort(-p, kind="stable")
+    p, y = p[at], y[at]
+    hits, n = np.cumsum(y), np.arange(1, len(y) + 1)
+    ends = np.append(p[1:] < p[:-1], False)  # rows of equal probability fall on one side
+    if not ends.any() or not y.any():
+        return 0.5
+    f1 = np.where(ends, 2 * hits / (n + y.sum()), -1.0)
+    cut = int(f1.argmax())
+    return float((p[cut] + p[cut + 1]) / 2)
+
+
 @dataclass(frozen=True)
 class Chain:
     """Final models in chain order, over one table of words."""
@@ -121,12 +133,14 @@ class Chain:
     models: tuple[Linear, ...]
     marks: np.ndarray
     table: np.ndarray  # weight of each word in each model
+    threshold: float  # of the last category
 
     @classmethod
     def learn(cls, rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> Chain:
         """``labels`` has a column per category; rows of one fold are predicted by the others' model."""
         earlier = np.zeros((len(rows), 0))
         models = []
+        threshold = 0.5
         for c in range(labels.shape[1]):
             y = labels[:, c].astype(np.float64)
             out = np.zeros(len(rows))
@@ -137,11 +151,12 @@ class Chain:
                     out[inside] = model.probability(_present([rows[i] for i in inside], model.words) @ model.weights, earlier[inside])
             models.append(fit(rows, y, earlier) if len(rows) else fit([], np.zeros(0), earlier))
             earlier = np.hstack([earlier, out[:, None]])
+            threshold = best_threshold(out, y)
         marks = np.unique(np.concatenate([m.words for m in models])) if models else np.empty(0, np.int64)
         table = np.zeros((len(marks), len(models)))
         for c, m in enumerate(models):
             table[np.searchsorted(marks, m.words), c] = m.weights
-        return cls(tuple(models), marks, table)
+        return cls(tuple(models), marks, table, threshold)
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         """A column per category from the summed word weights, each fed to the next."""
@@ -151,14 +166,15 @@ class Chain:
         return out
 
 
-def learned(docs: DataFrame, labels: DataFrame, train: Column | None = None, label: str = "toxic", rows: int = TRAIN_ROWS) -> Chain:
+def learned(docs: DataFrame, labels: DataFrame, train: Column | None = None, rows: int = TRAIN_ROWS) -> Chain:
     """The chain from at most ``rows`` labelled documents of the training folds, chosen by hash.
 
-    NULL labels are left out; a document labelled several times is toxic if any label says so.
-    Copies of a text share a fold.
+    Rows without a label of the last category are left out.  Copies of a text share a fold.
     """
     train = ~held_out(F.col("doc_id")) if train is None else train
-    known = labels.where(train & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_y"))
+    # Bit c says whether any label puts the document into category c.
+    bits = [F.when(F.max(F.col(c).cast("double")) != 0, 1 << i).otherwise(0) for i, c in enumerate(CATEGORIES)]
+    known = labels.where(train & F.col(CATEGORIES[-1]).isNotNull()).groupBy("doc_id").agg(sum(bits[1:], bits[0]).alias("_y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "_id")
     texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
 
@@ -168,12 +184,11 @@ def learned(docs: DataFrame, labels: DataFrame, train: Column | None = None, lab
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), batch.column("_fold"), pa.array(sets, pa.binary())], names=["_id", "_y", "_fold", "marks"])
 
     fold = F.pmod(F.xxhash64("_text"), F.lit(FOLDS)).cast("int").alias("_fold")
-    kinds = f"_id {labels.schema['doc_id'].dataType.simpleString()}, _y {labels.schema[label].dataType.simpleString()}, _fold int, marks binary"
+    kinds = f"_id {labels.schema['doc_id'].dataType.simpleString()}, _y int, _fold int, marks binary"
     found = texts.select("_id", "_y", fold, "_text").mapInArrow(run, kinds).dropDuplicates(["_id", "_fold"]).orderBy("_id", "_fold").limit(rows).collect()
     sets = [np.frombuffer(r["marks"], dtype=np.int64) for r in found]  # packed: a list of numbers takes several times the memory
-    toxic = np.array([bool(r["_y"]) for r in found], dtype=bool)
-    seeded = [np.array([bool(np.isin(x, sorted(_SEED_MARKS[c])).any()) for x in sets], dtype=bool) & toxic for c in SEEDS]
-    return Chain.learn(sets, np.stack([*seeded, toxic], axis=1) if found else np.zeros((0, len(CATEGORIES))), np.array([r["_fold"] for r in found], dtype=np.int64))
+    y = np.array([[r["_y"] >> c & 1 for c in range(len(CATEGORIES))] for r in found], dtype=bool).reshape(-1, len(CATEGORIES))
+    return Chain.learn(sets, y, np.array([r["_fold"] for r in found], dtype=np.int64))
 
 
 def scored(docs: DataFrame, chain: Chain, carry: tuple[str, ...] = ("doc_id",), text: str = "text", prefix: str = "") -> DataFrame:

@@ -26,10 +26,13 @@ def test_quality_held_out(spark):
 
 
 def test_toxic_held_out(spark):
-    found = {r.doc_id for r in queries.QUERIES["op1_toxic_documents"](spark, FOLDER).collect()}
+    every = queries.QUERIES["op1_toxic_documents"](spark, FOLDER).collect()
+    assert len(every) == table(spark, FOLDER, "documents").count()
+    found = {r.doc_id for r in every if r.toxic}
     rows = table(spark, FOLDER, "labels").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).collect()
     hits = sum(r.toxic == 1 and r.doc_id in found for r in rows)
     false = sum(r.toxic == 0 and r.doc_id in found for r in rows)
+    print("toxic, held out:", hits, "of", sum(r.toxic == 1 for r in rows), "found;", false, "others of", len(rows))
     # Some seven in a hundred labelled toxic rows hold nothing toxic, so that no model can reach all.
     assert hits >= 0.89 * sum(r.toxic == 1 for r in rows) and false <= 0.01 * len(rows)
 
@@ -74,3 +77,26 @@ def test_neighbours_vote_by_similarity():
     x[0, 0] = x[1, 5] = 1
     good, bad, none = model.scores(x)
     assert good > 0.9 and bad < 0.1 and none == model.prior == 0.5
+
+
+def test_threshold_of_the_folds():
+    p, y = np.array([0.9, 0.8, 0.7, 0.6, 0.1]), np.array([1.0, 1, 0, 1, 0])
+    assert toxicity.best_threshold(p, y) == pytest.approx(0.35)
+    assert toxicity.best_threshold(p, np.zeros(5)) == toxicity.best_threshold(np.ones(4), np.ones(4)) == toxicity.best_threshold(np.empty(0), np.empty(0)) == 0.5
+
+
+def test_chain_against_a_plain_walk(spark, docs):
+    """Per row and per model: the weights of the words and word beginnings that occur, then the earlier probabilities."""
+    rows = [(i, f"word{i % 7} and {'awful' if i % 3 == 0 else 'lovely'} things{i % 5}", None, None, None) for i in range(200, 440)]
+    given = spark.createDataFrame(rows, docs.schema)
+    labels = spark.createDataFrame([(r[0], int(r[0] % 2), int(r[0] % 3 == 0)) for r in rows], "doc_id long, quality int, toxic int")
+    chain = toxicity.learned(given, labels)
+    weights = dict(zip(chain.marks.tolist(), chain.table.tolist()))
+    assert weights and chain.models[1].chain.shape == (1,)
+    texts = docs.unionAll(given).withColumn("n", F.monotonically_increasing_id())
+    for r in toxicity.scored(texts, chain, carry=("n", "text")).collect():
+        earlier = []
+        for c, model in enumerate(chain.models):
+            z = model.bias + sum(weights[m][c] for m in toxicity.terms(r.text) if m in weights) + sum(w * p for w, p in zip(model.chain, earlier))
+            earlier.append(1 / (1 + np.exp(-min(max(z, -40), 40))))
+        assert (r.p_quality, r.p_toxic) == pytest.approx(tuple(earlier))

@@ -1,9 +1,11 @@
 """Fixed patterns against plain regular expressions; learned formats on their own kind."""
 
 import hashlib
+import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import queries
@@ -79,6 +81,55 @@ def test_formats_generalise():
     assert s.spans(text, formats) == [(4, 26, "grammar")] and s.base_spans(text) == []
 
 
+@pytest.mark.parametrize("share", [0, 0.005, 0.01, 0.05])
+def test_bare_credentials_among_ordinary_runs(spark, share):
+    """Labelled 32-digit ones; unseen ones of 20 digits in prose, some of them met in training."""
+    rnd = random.Random(8)
+    hexes, _, words = credentials(rnd, 800)
+    bare = [h[:20] for h in credentials(rnd, int(800 * share))[0]]
+    prose = words[: 800 - len(bare)] + bare
+    rnd.shuffle(prose)
+    texts = [f"key {h} end" for h in hexes[:400]] + [" ".join(prose[i : i + 8]) for i in range(0, 800, 8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    formats = s.learned(docs)
+    unseen, _, plain = credentials(random.Random(9), 300)
+    assert sum(bool(s.spans(f"see {h[:20]} here", formats)) for h in unseen) > 0.9 * len(unseen)
+    assert not any(s.spans(w, formats) for w in plain)
+    rows = {r.doc_id: r.found for r in s.scan(docs, formats).collect()}
+    assert sum(x.kind == "grammar" for f in rows.values() for x in f) >= 0.9 * len(bare)
+
+
+def test_short_and_dotted_credentials():
+    rnd = random.Random(6)
+    part = lambda n: "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    formats = s.Formats.learn([("assign", f"{part(5)}.{part(5)}") for _ in range(400)], credentials(rnd, 800)[2])
+    assert s.spans(f"so {(run := part(5) + '.' + part(5))}. Then", formats) == [(3, 3 + len(run), "grammar")]
+    assert s.spans("so thermenting. Then", formats) == []
+
+
+def walk(automaton, run):
+    """The probability of a run by a plain walk with shares, without logarithms."""
+    state, p = 0, 1.0
+    for c in [*run, None]:
+        kind = "$" if c is None else "0" if c.isdigit() else c if not c.isalpha() else ("A" if c in "ABCDEF" else "G") if c.isupper() else ("a" if c in "abcdef" else "g")
+        seen = automaton.count[state] if state is not None else {}
+        size = {"0": 10, "a": 6, "A": 6, "g": 20, "G": 20}.get(kind, 1)
+        p *= (seen[kind] + 0.05) / (sum(seen.values()) + 0.8) / size if kind in seen else 1e-4
+        state = None if state is None or c is None else automaton.step[state].get(kind)
+    return p
+
+
+def test_scores_against_a_plain_walk():
+    rnd = random.Random(12)
+    hexes, keys, words = credentials(rnd, 200)
+    formats = s.Formats.learn([("hex", h) for h in hexes] + [("access", k) for k in keys], words + ["10.5-a=", "2024-01-05"])
+    assert formats.least == pytest.approx(math.log(202 / s.FALSE))
+    for run in [*credentials(rnd, 20)[0], *keys[:20], *words[:20], "2024-01-05", "a.b.c+d", "Zz9_/="]:
+        run = run[: rnd.randrange(6, 30)]
+        ratio = math.log(max(walk(a, run) for a in formats.known.values()) / walk(formats.background, run))
+        assert formats.score(run) == pytest.approx(ratio / max(len(run), formats.least / s.THRESHOLD))
+
+
 def test_merging_shrinks_the_tree():
     hexes, _, _ = credentials(random.Random(3), 300)
     automaton = s.infer(hexes)
