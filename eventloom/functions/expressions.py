@@ -35,10 +35,12 @@ def labels(*pairs: tuple[Column, str]) -> Column:
 def rounded(c: Column, digits: int) -> Column:
     """Round a double half up, the same whatever order its parts were summed in.
 
-    The first step removes the last-bit noise of a distributed sum, which would otherwise decide
-    which way 80.475 goes.
+    The last-bit noise of a distributed sum would otherwise decide which way 80.475 goes.  So the value is
+    moved away from zero by more than that noise (a trillionth of it, at most a hundredth of the last place
+    kept) and rounded once: 0.0049999999996 is 0.0 at two places.
     """
-    return F.round(F.round(c, 9), digits)
+    noise = F.least(F.abs(c) * F.lit(1e-12), F.lit(10.0 ** -(digits + 2)))
+    return F.round(c + F.signum(c) * noise, digits)
 
 
 def ratio(a: Column, b: Column, digits: int | None = None) -> Column:

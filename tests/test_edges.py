@@ -184,3 +184,10 @@ def test_small_expressions(spark):
     score = curated.engagement_score("x", 1, 1, 1)
     row = spark.createDataFrame([(None, 1, 1)], "events_x int, purchases_x int, sessions_x int")
     assert row.select(score.alias("s")).first().s is None
+
+
+def test_rounding_once(spark):
+    values = [0.0049999999996, -0.0049999999996, 0.005, 80.475, 80.47499999999999, -80.47499999999999, 1e12 + 0.004, float("inf"), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.v for r in df.select("i", rounded(F.col("v"), 2).alias("v")).orderBy("i").collect()]
+    assert got == [0.0, 0.0, 0.01, 80.48, 80.48, -80.48, 1e12, float("inf"), None]
