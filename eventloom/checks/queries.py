@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from eventloom.functions.expressions import rounded
 from eventloom.operators import quality as q
 from eventloom.operators.funnel import conversion_funnel
 from eventloom.operators.keyed import sync_columns
@@ -45,10 +44,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def compared(c: Column, digits: int) -> Column:
+    """A double as the SQL counterparts show it: nine places, then ``digits``."""
+    return F.round(F.round(c, 9), digits)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     shown = [f for f in df.schema if f.name not in ("processed_at", "last_updated")]
     return df.select(
-        *[rounded(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in shown]
+        *[compared(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in shown]
     )
 
 
@@ -211,7 +215,7 @@ def daily_run(spark, folder):
     found = [
         lake.read(name)
         .groupBy(F.col(day).cast("string").alias("day"))
-        .agg(F.count("*").alias("n_rows"), rounded(F.expr(measure).cast("double"), 4).alias("measure"))
+        .agg(F.count("*").alias("n_rows"), compared(F.expr(measure).cast("double"), 4).alias("measure"))
         .select(F.lit(name).alias("table_name"), "day", "n_rows", "measure")
         for name, (day, measure) in DAILY.items()
     ]
@@ -703,7 +707,7 @@ def schema_sync_stored(spark, folder):
     lake.replace("users", raw.withColumn("score", F.length("user_id")))
     some = raw.where("user_date >= DATE'2024-01-10'").drop("timezone").withColumns({"score": F.lit(1.5), "locale": F.lit("en")})
     lake.upsert("users", some)
-    return lake.read("users").withColumn("score", rounded(F.col("score"), 6))
+    return lake.read("users").withColumn("score", compared(F.col("score"), 6))
 
 
 MOVING = {
