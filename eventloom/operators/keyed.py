@@ -59,6 +59,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
     return unique.unionByName(df.where(~has_key(keys)))
 
 
+def repeats_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key may occur twice: only hashes are dealt, not rows.  A collision counts as a repetition."""
+    hashed = df.where(has_key(keys)).select(F.xxhash64(*keys).alias("_key"))
+    return not hashed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").isEmpty()
+
+
 def without_keys_of(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(batch.select(*keys), list(keys), "left_anti")
 

@@ -4,7 +4,8 @@ An upsert asks for the dates of its keys and reads the buckets these fall into,
 the table.  Entries are only ever appended, each commit of the table adding those of the rows it
 writes before they appear there.  An entry may therefore be out of date, which costs a look into a
 partition that no longer holds the key; a row without an entry cannot exist.  After MAX_APPENDS commits
-the entries are rewritten once each.
+the entries are rewritten once each.  It serves small batches and is built by the first one: the keys of
+a large one fall into every bucket.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from eventloom.sources.catalog import Table
 
 BUCKET_KEYS = 2_000_000
 MAX_APPENDS = 64
+FEW_KEYS = 64
 _BUCKET = "_bucket"
 
 
@@ -40,6 +42,11 @@ class KeyIndex:
     def exists(self) -> bool:
         return self._meta() is not None
 
+    def pays(self, n_keys: int) -> bool:
+        """Whether a batch of so many keys may leave buckets unread."""
+        meta = self._meta()
+        return n_keys <= max(FEW_KEYS, meta["buckets"] if meta else 0)
+
     def drop(self) -> None:
         paths.remove(self.spark, self.where)
 
@@ -48,7 +55,8 @@ class KeyIndex:
 
     def _append(self, rows: DataFrame, meta: dict) -> None:
         columns = [*self.table.keys, self.table.date_col]
-        placed = rows.where(has_key(self.table.keys)).select(*columns).distinct().withColumn(_BUCKET, self._bucket(meta["buckets"]))
+        # A key that repeats is only an entry more.
+        placed = rows.where(has_key(self.table.keys)).select(*columns).withColumn(_BUCKET, self._bucket(meta["buckets"]))
         laid = placed.hint("rebalance", F.col(_BUCKET)).sortWithinPartitions(_BUCKET, *self.table.keys)
         laid.write.mode("append").partitionBy(_BUCKET).parquet(f"{self.where}/{meta['version']}")
 

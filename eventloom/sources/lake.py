@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.functions.expressions import AsOf, as_of_date
-from eventloom.operators.keyed import content_of, has_key, latest_per_key, missing_copies, sync_columns, with_keys_of, without_keys_of
+from eventloom.operators.keyed import content_of, has_key, latest_per_key, missing_copies, repeats_keys, sync_columns, with_keys_of, without_keys_of
 from eventloom.sources import paths
 from eventloom.sources.catalog import DOWNSTREAM, STATES, TABLES, Table
 from eventloom.sources.key_index import KeyIndex
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+_KEYED = "_has_key"
 MAX_FILES = 64  # of one partition; more are rewritten as one when it next gains rows
 
 
@@ -33,14 +34,15 @@ class KeyOutOfBounds(ValueError):
 Days = set  # of partition dates; the NULL date is a partition of its own
 
 
-def spread(df: DataFrame, date_col: str, cluster: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, date_col: str, cluster: Sequence[str], first: str | None = None) -> DataFrame:
     """Lay rows out for a partitioned write.
 
     Rebalancing by date keeps the files per day few, and adaptive execution cuts a day with too
     many rows into several tasks (repartition by date would give a whole day to one task).
-    Sorting by the cluster columns gives narrow row-group statistics to skip by.
+    Sorting by the cluster columns gives narrow row-group statistics to skip by.  ``first`` is a
+    partition column above the date.
     """
-    by = [c for c in (date_col, *cluster) if c in df.columns]
+    by = [c for c in (first, date_col, *cluster) if c in df.columns]
     return df.hint("rebalance", F.col(date_col)).sortWithinPartitions(*dict.fromkeys(by))
 
 
@@ -197,13 +199,11 @@ class Lake:
         self._mark(name, touched, marks)
         index = None if table.key_fixes_date else self.index(name)
         if index and full:
-            index.drop()
+            index.drop()  # the first small batch builds it again
         elif index and new and index.exists():
             index.add(self.spark.read.schema(nullable).parquet(staged))
         paths.write_text(self.spark, self._journal_path(name), json.dumps(journal))
         self._finish(name)
-        if index and full:
-            index.build(self.read(name))
 
     def _finish(self, name: str) -> None:
         """Carry out what the journal of the table says; every step can be repeated."""
@@ -226,7 +226,7 @@ class Lake:
                 paths.remove(spark, f"{home}/{child}")
         paths.write_text(spark, self._schema_path(name), journal["schema"])
         paths.remove(spark, self._journal_path(name))
-        paths.remove(spark, staged)
+        paths.remove(spark, staged.split(f"/{_KEYED}=")[0])
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Full load: the table becomes exactly ``df``."""
@@ -300,10 +300,12 @@ class Lake:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _with_files(self, name: str) -> DataFrame:
-        """The table with the partition folder and file of each row as ``_file``."""
+        """The table with the file of each row as ``_file``, which is unique within a partition."""
         schema = StructType.fromJson(json.loads(paths.read_text(self.spark, self._schema_path(name))))
-        file = F.array_join(F.slice(F.split("_metadata.file_path", "/"), -2, 2), "/")
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames(), file.alias("_file"))
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames(), F.col("_metadata.file_name").alias("_file"))
+
+    def _child(self, name: str, day: dt.date | None) -> str:
+        return f"{TABLES[name].date_col}={_NO_DATE if day is None else day}"
 
     def _read_files(self, name: str, files: Collection[str]) -> DataFrame:
         """Those files of the table and no others; metadata of one file each reached the driver before."""
@@ -317,7 +319,7 @@ class Lake:
         """The files of those partitions among ``days`` that hold many: rewriting them is due."""
         out: set[str] = set()
         for d in days:
-            child = f"{TABLES[name].date_col}={_NO_DATE if d is None else d}"
+            child = self._child(name, d)
             found = paths.files(self.spark, f"{self.path(name)}/{child}")
             if len(found) >= MAX_FILES:
                 out |= {f"{child}/{f}" for f in found}
@@ -334,8 +336,9 @@ class Lake:
     ) -> Days:
         """Replace rows with the batch's keys, add the others, adopt the batch's columns.
 
-        Returns the days that gained or lost rows.  The key index says in which partitions the keys can
-        be; only files that hold one of them are rewritten (all, when a column changes its type).
+        Returns the days that gained or lost rows.  For a few keys the key index says in which partitions
+        they can be, for more the key column of the table; only files that hold one of them are rewritten
+        (all, when a column changes its type).
         ``search_back_days`` states how far the feed lets keys move; a key that moved further raises
         KeyOutOfBounds before anything is written.
 
@@ -344,13 +347,14 @@ class Lake:
         copies) and ``gone`` (keys) name rows that disappear.  ``marks``: see ``_commit``.
         """
         table: Table = TABLES[name]
-        batch = latest_per_key(batch, table.keys, table.newest_first)
+        if repeats_keys(batch, table.keys):  # whole rows are dealt by key only if that can matter
+            batch = latest_per_key(batch, table.keys, table.newest_first)
         self._finish(name)
         if not self.exists(name):
             self.replace(name, batch)
             return set(self.partitions(name))
         day, order = table.date_col, batch.columns
-        staged = self._stage(name, batch)
+        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
         aside = [staged]
 
         def keep(df: DataFrame, label: str) -> DataFrame:  # used several times below
@@ -359,31 +363,30 @@ class Lake:
             return self.spark.read.schema(df.schema).parquet(aside[-1])
 
         try:
-            # Most batches go in as they are: they are written once, in the layout of the table.
-            batch = self.spark.read.schema(batch.schema).parquet(staged).select(*order)
-            # One row per partition date of the batch.
-            counts = batch.groupBy(day).agg(F.count_if(has_key(table.keys)).alias("keyed"), F.count_if(~has_key(table.keys)).alias("loose")).collect()
-            keyed, loose = batch.where(has_key(table.keys)), batch.where(~has_key(table.keys))
-            gaining, loose_days = {r[0] for r in counts if r.keyed}, {r[0] for r in counts if r.loose}
+            # Most rows with a key go in as they are: they are written once, in the layout of the table,
+            # apart from those without a key.
+            keyed, loose = self._stage_apart(name, batch, staged)
+            n_keyed, gaining, loose_days = self._spans(keyed, loose, day)
             stored = self._with_files(name)
             target = sync_columns(stored, batch.withColumn("_file", F.lit("")))
             places: list = []
-            whole = True  # every row of the batch goes in
-            candidates = self._dates_with(name, keyed, gaining) if gaining else set()
+            whole = True  # every row with a key goes in
+            candidates = self._dates_with(name, keyed, gaining, n_keyed) if gaining else set()
             if candidates:
                 arrival = [c for c in (table.arrival,) if c in target.columns]
+                late = F.coalesce(F.col(arrival[0]) > F.col("_arrived"), F.lit(False)) if arrival else F.lit(False)
+                mine = keyed.select(*table.keys, *[F.col(c).alias("_arrived") for c in arrival])
                 held = target.where(on_dates(day, candidates)).select(*table.keys, day, "_file", *arrival)
-                found = keep(with_keys_of(held, keyed, table.keys), "found")
+                found = keep(held.join(mine, list(table.keys)).select(*table.keys, day, "_file", late.alias("_late")), "found")
                 if search_back_days is not None:
                     self._check_bound(name, keyed, found, search_back_days)
-                if arrival:
-                    arrived = keyed.select(*table.keys, F.col(arrival[0]).alias("_arrived"))
-                    older = found.join(arrived, list(table.keys)).where(F.col(arrival[0]) > F.col("_arrived")).select(*table.keys).distinct()
-                    if not older.isEmpty():
-                        older = keep(older, "older")
-                        keyed, found, whole = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys), False
-                        gaining = dates_of(keyed, day)
-                places += found.select(day, "_file").distinct().collect()  # a file each at most
+                hits = found.groupBy(day, "_file").agg(F.max("_late").alias("late")).collect()  # a file each at most
+                if any(r.late for r in hits):
+                    older = keep(found.where("_late").select(*table.keys).distinct(), "older")
+                    keyed, found, whole = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys), False
+                    gaining = dates_of(keyed, day)
+                    hits = found.select(day, "_file").distinct().collect()
+                places += hits
             content = list(content_of(batch))
             if withdrawn is not None:
                 hit = target.where(on_dates(day, {r[0] for r in withdrawn.select("_day").distinct().collect()}))
@@ -394,7 +397,7 @@ class Lake:
                 hit = with_keys_of(target.where(on_dates(day, dates_of(gone, day))), gone, table.keys)
                 places += hit.select(day, "_file").distinct().collect()
             if loose_days:
-                loose, whole = keep(self._lacking(target.drop("_file"), loose, table), "loose"), False
+                loose = keep(self._lacking(target.drop("_file"), loose, table), "loose")
                 loose_days = dates_of(loose, day)
             touched = gaining | loose_days | {r[0] for r in places}
 
@@ -408,18 +411,24 @@ class Lake:
                 counted = rows.withColumns(content_of(rows)).join(withdrawn.select(*content, "_copies"), content, "left")
                 return counted.withColumn("_copy", copy).where(F.col("_copies").isNull() | (F.col("_copy") > F.col("_copies"))).select(rows.columns)
 
-            new = keyed.unionByName(loose) if loose_days else keyed
             if self._retyped(name, batch):
+                new = keyed.unionByName(loose) if loose_days else keyed
                 self._commit(name, kept(target.drop("_file")).unionByName(new), touched=touched, full=True, marks=marks)
             elif touched or order != stored.columns[:-1]:
-                files = {r[1] for r in places} | self._crowded(name, gaining | loose_days)
-                rewritten = kept(self._read_files(name, files)) if files else None
-                ready = None if whole else self._stage(name, new if rewritten is None else new.unionByName(rewritten))
-                if whole and rewritten is not None:
+                files = {f"{self._child(name, r[0])}/{r[1]}" for r in places} | self._crowded(name, gaining | loose_days)
+                # What does not lie in the layout of the table yet.
+                rest = [] if whole else [keyed]
+                rest += [loose] if loose_days else []
+                rest += [kept(self._read_files(name, files))] if files else []
+                ready = f"{staged}/{_KEYED}=true" if whole else None
+                if rest:
                     # Files are named by the job that wrote them: both jobs write into one place.
-                    extra = self._stage(name, rewritten)
-                    self._merge_staged(extra, staged)
-                self._commit(name, batch, touched=touched, replaced_files=files, marks=marks, staged=ready or staged)
+                    extra = self._stage(name, reduce(DataFrame.unionByName, rest))
+                    if whole:
+                        self._merge_staged(extra, ready)
+                    else:
+                        ready = extra
+                self._commit(name, batch, touched=touched, replaced_files=files, marks=marks, staged=ready)
         finally:
             for path in aside:
                 # What a journal names is moved in by the next access.
@@ -433,13 +442,39 @@ class Lake:
                 paths.move(self.spark, f"{source}/{child}/{file}", f"{target}/{child}/{file}")
         paths.remove(self.spark, source)
 
-    def _dates_with(self, name: str, keyed: DataFrame, gaining: Days) -> Days:
-        """The partitions that may hold keys of the batch."""
+    def _stage_apart(self, name: str, batch: DataFrame, staged: str) -> tuple[DataFrame, DataFrame]:
+        """Write the rows with a key in the layout of the table, and beside them those without, in one pass."""
+        table = TABLES[name]
+        laid = spread(batch.withColumn(_KEYED, has_key(table.keys)), table.date_col, table.cluster, first=_KEYED)
+        laid.write.partitionBy(_KEYED, table.date_col).parquet(staged)
+        parts = []
+        for value in ("true", "false"):
+            paths.make(self.spark, f"{staged}/{_KEYED}={value}")
+            parts.append(self.spark.read.schema(batch.schema).parquet(f"{staged}/{_KEYED}={value}").select(*batch.columns))
+        return parts[0], parts[1]
+
+    @staticmethod
+    def _spans(keyed: DataFrame, loose: DataFrame, day: str) -> tuple[int, Days, Days]:
+        """How many rows have a key, the days of these, and those of the others."""
+        both = keyed.select(day, F.lit(True).alias("keyed")).unionAll(loose.select(day, F.lit(False).alias("keyed")))
+        counts = both.groupBy("keyed", day).count().collect()  # two rows per partition date at most
+        n_keyed = sum(r["count"] for r in counts if r.keyed)
+        return n_keyed, {r[day] for r in counts if r.keyed}, {r[day] for r in counts if not r.keyed}
+
+    def _dates_with(self, name: str, keyed: DataFrame, gaining: Days, n_keyed: int) -> Days:
+        """The partitions that may hold keys of the batch.
+
+        More than a few keys fall into every bucket of the index, which then says no more than the keys
+        in the table, and these are to be read for the files anyway.
+        """
         if TABLES[name].key_fixes_date:
             return gaining
-        if not self.index(name).exists():
-            self.index(name).build(self.read(name))
-        return self.index(name).dates(keyed)
+        index = self.index(name)
+        if not index.pays(n_keyed):
+            return set(self.partitions(name))
+        if not index.exists():
+            index.build(self.read(name))
+        return index.dates(keyed)
 
     def _lacking(self, target: DataFrame, loose: DataFrame, table: Table) -> DataFrame:
         """Key-less rows that the table does not have yet; equal content means the same partition."""

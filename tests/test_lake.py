@@ -319,3 +319,32 @@ def test_delivery_lost_half_way_is_repaired(spark, lake, monkeypatch):
     assert stored(lake) == [("a", D2, "1"), ("c", D2, "2")]
     lake.append_day("events", events_on(spark, ("a", "click", "2024-01-02 10:00:00", "1")), D2)
     assert stored(lake) == [("a", D2, "1")]
+
+
+def test_rows_with_a_key_are_laid_out_once(spark, lake, monkeypatch):
+    """Key-less rows beside them do not make an upsert write the others again, and a large batch needs no index."""
+    monkeypatch.setattr(key_index, "FEW_KEYS", 1)
+    rows = events_on(spark, *[(f"k{i}", "click", "2024-01-01 10:00:00", "old") for i in range(6)], (None, "click", "2024-01-01 10:00:00", "x"), ("", "click", None, "y"))
+    lake.upsert("events", rows)
+    assert not lake.index("events").exists()
+    written, stage = [], lake._stage
+    monkeypatch.setattr(lake, "_stage", lambda name, df, *a: written.append(df.count()) or stage(name, df, *a))
+    more = events_on(
+        spark, *[(f"k{i}", "click", "2024-01-02 10:00:00", "new") for i in range(4, 9)],
+        (None, "click", "2024-01-01 10:00:00", "x"), (None, "click", "2024-01-01 10:00:00", "x"), ("", "click", None, "y"),
+    )
+    assert lake.upsert("events", more) == {D1, D2}
+    # one copy more without a key, and what stays of the only file of the first day: four keys and a row without
+    assert written == [6] and not lake.index("events").exists()
+    want = [(f"k{i}", D1, "old") for i in range(4)] + [(f"k{i}", D2, "new") for i in range(4, 9)] + [(None, D1, "x")] * 2 + [("", None, "y")]
+    assert sorted(stored(lake), key=str) == sorted(want, key=str)
+    assert not paths.children(spark, f"{lake.root}/_staged")
+
+
+def test_rows_are_dealt_by_key_only_if_one_repeats(spark, lake, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lake_module, "latest_per_key", lambda df, *a: seen.append(1) or latest_per_key(df, *a))
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x"), (None, "click", "2024-01-01 10:00:00", "x"), (None, "click", "2024-01-01 10:00:00", "x")))
+    assert not seen
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 11:00:00", "older"), ("a", "click", "2024-01-01 12:00:00", "newest")))
+    assert seen and sorted(stored(lake), key=str) == [("a", D1, "newest"), (None, D1, "x"), (None, D1, "x")]
