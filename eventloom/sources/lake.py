@@ -376,8 +376,9 @@ class Lake:
                 arrival = [c for c in (table.arrival,) if c in target.columns]
                 late = F.coalesce(F.col(arrival[0]) > F.col("_arrived"), F.lit(False)) if arrival else F.lit(False)
                 mine = keyed.select(*table.keys, *[F.col(c).alias("_arrived") for c in arrival])
-                held = target.where(on_dates(day, candidates)).select(*table.keys, day, "_file", *arrival)
-                found = keep(held.join(mine, list(table.keys)).select(*table.keys, day, "_file", late.alias("_late")), "found")
+                where = list(dict.fromkeys([*table.keys, day]))  # a key may hold the day
+                held = target.where(on_dates(day, candidates)).select(*where, "_file", *arrival)
+                found = keep(held.join(mine, list(table.keys)).select(*where, "_file", late.alias("_late")), "found")
                 if search_back_days is not None:
                     self._check_bound(name, keyed, found, search_back_days)
                 hits = found.groupBy(day, "_file").agg(F.max("_late").alias("late")).collect()  # a file each at most

@@ -348,3 +348,10 @@ def test_rows_are_dealt_by_key_only_if_one_repeats(spark, lake, monkeypatch):
     assert not seen
     lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 11:00:00", "older"), ("a", "click", "2024-01-01 12:00:00", "newest")))
     assert seen and sorted(stored(lake), key=str) == [("a", D1, "newest"), (None, D1, "x"), (None, D1, "x")]
+
+
+def test_upsert_by_a_key_that_holds_the_day(spark, lake):
+    rows = lambda *r: spark.createDataFrame(list(r), "user_id string, date date, total_events long")
+    lake.replace("user_metrics", rows(("a", D1, 1), ("a", D2, 2), ("b", D1, 3)))
+    assert lake.upsert("user_metrics", rows(("a", D1, 5), ("c", D2, 6)), marks=()) == {D1, D2}
+    assert rows_of(lake.read("user_metrics"), "user_id", "date", "total_events") == [("a", D1, 5), ("a", D2, 2), ("b", D1, 3), ("c", D2, 6)]
