@@ -579,10 +579,18 @@ def dq_business_rules(spark, folder):
 
 
 def _stored(spark: SparkSession, folder: str, names: Iterable[str]) -> Lake:
+    """Each table stored once, from the stored ones above it; independent ones at the same time."""
     lake, layers = scratch_lake(spark), Layers(spark, folder)
-    models = layers.tables(*(n for n in names if n != "events"))
-    for name in names:
-        lake.replace(name, layers.raw_events if name == "events" else models[name])
+    models = {
+        "events": lambda: layers.raw_events,
+        "stg_events": lambda: layers.events,
+        "stg_users": lambda: layers.users,
+        "user_metrics": lambda: curated.user_metrics(lake.read("stg_events"), layers.users, AS_OF),
+        "event_metrics": lambda: curated.event_metrics(lake.read("stg_events"), AS_OF),
+        "business_metrics": lambda: mart.business_metrics(lake.read("user_metrics"), AS_OF),
+    }
+    for level in (("events", "stg_events", "stg_users"), ("user_metrics", "event_metrics"), ("business_metrics",)):
+        daily.together(*[lambda n=n: lake.replace(n, models[n]()) for n in level if n in set(names)])
     return lake
 
 
@@ -599,7 +607,8 @@ def quality_report(spark, folder):
 
 @query
 def quality_alerts(spark, folder):
-    return report.alerts(_report(spark, folder))
+    # The report is a few rows: read again, it is not computed again.
+    return report.alerts(scratch_lake(spark).materialise(_report(spark, folder), "report"))
 
 
 @query

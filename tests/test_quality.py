@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.checks import queries
+from eventloom.sources.lake import Lake
 from eventloom.operators import quality as q
 from eventloom.operators.funnel import conversion_funnel
 from eventloom.plans import assertions, quality_report as report, staging
@@ -160,3 +161,16 @@ def test_reports_of_stored_tables_read_the_newest_partitions(spark):
         scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
         assert scans and all("(" in s or "=" in s for s in scans), scans  # each scan is bounded
     assert rows_of(report.lake_slas(lake, queries.AS_OF)) == rows_of(report.layer_slas({k: (t, lake.read(t), c) for k, (t, c) in report.LAYERS.items()}, queries.AS_OF))
+
+
+def test_reports_store_each_table_once(spark, monkeypatch):
+    written, replace = [], Lake.replace
+    monkeypatch.setattr(Lake, "replace", lambda lake, name, df: written.append((name, " ".join(df.inputFiles()))) or replace(lake, name, df))
+    monkeypatch.setattr(Lake, "materialise", lambda *a: 1 / 0)
+    lake = queries._stored(spark, SF, report.FRESHNESS)
+    assert sorted(n for n, _ in written) == sorted(report.FRESHNESS)
+    sources = dict(written)
+    assert "/stg_events/" in sources["user_metrics"] and "/stg_events/" in sources["event_metrics"] and "/user_metrics/" in sources["business_metrics"]
+    assert not lake.index("stg_events").exists()  # nothing is upserted
+    monkeypatch.undo()
+    assert "/report-" in " ".join(queries.quality_alerts(spark, SF).inputFiles())
