@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+import zlib
 from collections.abc import Collection, Iterable, Sequence
 from functools import reduce
 
@@ -338,7 +339,7 @@ class Lake:
 
         Returns the days that gained or lost rows.  For a few keys the key index says in which partitions
         they can be, for more the key column of the table; only files that hold one of them are rewritten
-        (all, when a column changes its type).
+        (all, when a column changes its type), and of these a file whose every row is replaced is not read.
         ``search_back_days`` states how far the feed lets keys move; a key that moved further raises
         KeyOutOfBounds before anything is written.
 
@@ -370,6 +371,7 @@ class Lake:
             stored = self._with_files(name)
             target = sync_columns(stored, batch.withColumn("_file", F.lit("")))
             places: list = []
+            replaced: set[str] = set()  # files of which the batch has every row
             whole = True  # every row with a key goes in
             candidates = self._dates_with(name, keyed, gaining, n_keyed) if gaining else set()
             if candidates:
@@ -377,16 +379,21 @@ class Lake:
                 late = F.coalesce(F.col(arrival[0]) > F.col("_arrived"), F.lit(False)) if arrival else F.lit(False)
                 mine = keyed.select(*table.keys, *[F.col(c).alias("_arrived") for c in arrival])
                 where = list(dict.fromkeys([*table.keys, day]))  # a key may hold the day
-                held = target.where(on_dates(day, candidates)).select(*where, "_file", *arrival)
-                found = keep(held.join(mine, list(table.keys)).select(*where, "_file", late.alias("_late")), "found")
+                # The rows travel with a checksum of their file's name instead of the name.
+                held = target.where(on_dates(day, candidates)).select(*where, F.crc32("_file").alias("_file"), *arrival)
+                found = held.join(mine, list(table.keys)).select(*where, "_file", late.alias("_late"))
                 if search_back_days is not None:
+                    found = keep(found, "found")
                     self._check_bound(name, keyed, found, search_back_days)
-                hits = found.groupBy(day, "_file").agg(F.max("_late").alias("late")).collect()  # a file each at most
+                hits = found.groupBy(day, "_file").agg(F.max("_late").alias("late"), F.count("*").alias("n")).collect()  # a file each at most
                 if any(r.late for r in hits):
                     older = keep(found.where("_late").select(*table.keys).distinct(), "older")
                     keyed, found, whole = without_keys_of(keyed, older, table.keys), without_keys_of(found, older, table.keys), False
                     gaining = dates_of(keyed, day)
-                    hits = found.select(day, "_file").distinct().collect()
+                    hits = found.groupBy(day, "_file").agg(F.count("*").alias("n")).collect()
+                named = self._named(target, day, {(r[day], r["_file"]): r.n for r in hits})
+                replaced = {f"{self._child(name, d)}/{file}" for d, file, all_rows in named if all_rows}
+                hits = [(d, file) for d, file, _ in named]
                 places += hits
             content = list(content_of(batch))
             if withdrawn is not None:
@@ -420,7 +427,7 @@ class Lake:
                 # What does not lie in the layout of the table yet.
                 rest = [] if whole else [keyed]
                 rest += [loose] if loose_days else []
-                rest += [kept(self._read_files(name, files))] if files else []
+                rest += [kept(self._read_files(name, files - replaced))] if files - replaced else []
                 ready = f"{staged}/{_KEYED}=true" if whole else None
                 if rest:
                     # Files are named by the job that wrote them: both jobs write into one place.
@@ -437,6 +444,20 @@ class Lake:
                     paths.remove(self.spark, path)
         return touched
 
+    @staticmethod
+    def _named(target: DataFrame, day: str, hits: dict[tuple, int]) -> list[tuple]:
+        """(day, file, whether every row of it was hit) from the hits per day and checksum of the file's name.
+
+        Of files that share a checksum all are named, none as hit wholly.
+        """
+        if not hits:
+            return []
+        counts = target.where(on_dates(day, {d for d, _ in hits})).groupBy(day, "_file").count().collect()  # a row per file
+        known: dict[tuple, list] = {}
+        for r in counts:
+            known.setdefault((r[day], zlib.crc32(r["_file"].encode())), []).append(r)
+        return [(d, r["_file"], len(known[d, c]) == 1 and r["count"] == n) for (d, c), n in hits.items() for r in known[d, c]]
+
     def _merge_staged(self, source: str, target: str) -> None:
         for child in paths.children(self.spark, source):
             for file in paths.files(self.spark, f"{source}/{child}") if "=" in child else ():

@@ -355,3 +355,26 @@ def test_upsert_by_a_key_that_holds_the_day(spark, lake):
     lake.replace("user_metrics", rows(("a", D1, 1), ("a", D2, 2), ("b", D1, 3)))
     assert lake.upsert("user_metrics", rows(("a", D1, 5), ("c", D2, 6)), marks=()) == {D1, D2}
     assert rows_of(lake.read("user_metrics"), "user_id", "date", "total_events") == [("a", D1, 5), ("a", D2, 2), ("b", D1, 3), ("c", D2, 6)]
+
+
+def test_a_file_whose_rows_are_all_replaced_is_not_read(spark, lake, monkeypatch):
+    rows = [(f"k{i}", "click", "2024-01-01 10:00:00", "old") for i in range(4)]
+    lake.upsert("events", events_on(spark, *rows, ("a", "click", "2024-01-02 10:00:00", "old"), ("b", "click", "2024-01-02 10:00:00", "old")))
+    read, read_files = [], lake._read_files
+    monkeypatch.setattr(lake, "_read_files", lambda name, files: read.append({f.split("/")[0] for f in files}) or read_files(name, files))
+    assert lake.upsert("events", events_on(spark, *rows)) == {D1}  # a replay
+    assert not read
+    # all rows of the first day, one of the second
+    lake.upsert("events", events_on(spark, *[(k, kind, at, "new") for k, kind, at, _ in rows], ("a", "click", "2024-01-02 10:00:00", "new")))
+    assert read == [{"event_date=2024-01-02"}]
+    assert stored(lake) == [("a", D2, "new"), ("b", D2, "old")] + [(f"k{i}", D1, "new") for i in range(4)]
+
+
+def test_files_that_share_a_checksum_are_all_read(spark, lake, monkeypatch):
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-01 10:00:00", "old"), ("b", "click", "2024-01-01 10:00:00", "old")))
+    lake.upsert("events", events_on(spark, ("c", "click", "2024-01-01 10:00:00", "old")))
+    real = lake_module.F.crc32
+    monkeypatch.setattr(lake_module.F, "crc32", lambda c: real(F.lit("")))
+    monkeypatch.setattr(lake_module.zlib, "crc32", lambda text: 0)
+    lake.upsert("events", events_on(spark, ("a", "click", "2024-01-02 10:00:00", "new"), ("b", "click", "2024-01-02 10:00:00", "new")))
+    assert stored(lake) == [("a", D2, "new"), ("b", D2, "new"), ("c", D1, "old")]
