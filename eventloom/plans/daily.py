@@ -100,27 +100,41 @@ def _contexts(users: DataFrame) -> DataFrame:
 def _patch_users(lake: Lake, staged: DataFrame, as_of: AsOf) -> None:
     """Replace the columns of changed users in all stored user days; no event is read.
 
-    The days are found from the user ids of the user days, only those are read, and only files that
-    hold such a row are written.  A user who is not valid any more loses the columns.
+    Only users with user days count, and only files that hold such a row are read and written, once
+    each.  A user who is not valid any more loses the columns.
     """
     table = TABLES["stg_users"]
     fresh = latest_per_key(staged, table.keys, table.newest_first).where(has_key(table.keys))
-    new, old = _contexts(fresh), _contexts(fresh.limit(0))
+    new = lake.materialise(_contexts(fresh), "new-contexts")
+    both = new.withColumn("_n", F.lit(1))
     if lake.exists("stg_users"):
         old = _contexts(with_keys_of(sync_columns(lake.read("stg_users"), fresh), fresh, table.keys))
-    ids = new.subtract(old).unionAll(old.subtract(new)).select("user_id").distinct()
-    changed = lake.materialise(ids.join(new, "user_id", "left"), "changed-users")
+        both = both.unionAll(old.withColumn("_n", F.lit(-1)))
+    ids = both.groupBy("user_id", *CONTEXT).agg(F.sum("_n").alias("_n")).where("_n <> 0").select("user_id").distinct()
+    active = with_keys_of(ids, lake.read("user_metrics"), ["user_id"])
+    changed = lake.materialise(active.join(new, "user_id", "left"), "changed-users")
     if changed.isEmpty():
         return
-    days = dates_of(with_keys_of(lake.read("user_metrics").select("user_id", "date"), changed, ["user_id"]), "date")
-    for name in ("user_metrics", "ml_features", "user_analytics"):
-        if days and lake.exists(name):
-            day, stored = TABLES[name].date_col, lake.read(name)
-            rows = stored.where(on_dates(day, days)).drop("country", "user_tier").join(changed, "user_id")
-            age = F.datediff(F.to_date("last_updated"), F.col("_registered"))
-            rows = rows.withColumn("days_since_registration", age).select(stored.columns)
-            marks = ("business_metrics", "user_registrations") if name == "user_metrics" else ()
-            lake.upsert(name, present.presented(name, rows, as_of), marks=marks)
+
+    change = changed.toDF("user_id", *[f"_new_{c}" for c in CONTEXT]).withColumn("_changed", F.lit(True))
+
+    def patch(name: str, marks: tuple[str, ...]) -> None:
+        def changes(rows: DataFrame) -> DataFrame:
+            theirs = {
+                "country": F.col("_new_country"),
+                "user_tier": F.col("_new_user_tier"),
+                "days_since_registration": F.datediff(F.to_date("last_updated"), F.col("_new__registered")),
+            }
+            patched = rows.join(change, "user_id", "left").withColumns({c: F.when(F.col("_changed"), new).otherwise(F.col(c)) for c, new in theirs.items()})
+            return present.presented(name, patched.select(rows.columns), as_of)
+
+        lake.patch(name, changed.select("user_id"), changes, marks)
+
+    together(*[
+        lambda n=n, m=m: patch(n, m)
+        for n, m in (("user_metrics", ("business_metrics", "user_registrations")), ("ml_features", ()), ("user_analytics", ()))
+        if lake.exists(n)
+    ])
 
 
 def _stage_sessions(lake: Lake, as_of: AsOf) -> None:
@@ -299,9 +313,8 @@ def run_models(
     ``search_back_days`` states how far the feed lets an event move.  ``training`` also rebuilds the
     training rows, whose labels look ahead; ``expire_on`` drops partitions past their retention.
     """
-    _stage_events(lake, as_of, search_back_days)
-    _stage_users(lake, as_of)
-    _stage_sessions(lake, as_of)
+    # Different tables and pending days: what one of them stores, no other reads.
+    together(lambda: _stage_events(lake, as_of, search_back_days), lambda: _stage_users(lake, as_of), lambda: _stage_sessions(lake, as_of))
     gate(lake, ("stg_events", "stg_users"), as_of, enforce, _waiting(lake, "user_metrics", "event_metrics"))
 
     models = _Models(lake, as_of)

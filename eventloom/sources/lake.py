@@ -6,7 +6,7 @@ import datetime as dt
 import json
 import uuid
 import zlib
-from collections.abc import Collection, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -273,6 +273,15 @@ class Lake:
         still says what the delivery said.  The ledger holds both attempts while the rows are being
         exchanged, so a lost load is repaired by the next attempt.
         """
+        aside = paths.scratch_dir(self.spark, f"delivery-{name}")
+        try:
+            # Looked at several times below: a landing zone that holds many days is scanned once.
+            rows.write.parquet(aside)
+            return self._deliver(name, self.spark.read.schema(rows.schema).parquet(aside), delivery)
+        finally:
+            paths.remove(self.spark, aside)
+
+    def _deliver(self, name: str, rows: DataFrame, delivery: str) -> Days:
         table = TABLES[name]
         where, contents = f"{self._ledger(name)}/delivery={delivery}", ["_content1", "_content2"]
         keys = [F.first(k).alias(k) for k in table.keys]
@@ -316,6 +325,22 @@ class Lake:
         home = self.path(name)
         return self.spark.read.schema(schema).option("basePath", home).parquet(*[f"{home}/{f}" for f in sorted(files)]).select(*schema.fieldNames())
 
+    def patch(self, name: str, keyed: DataFrame, change: Callable[[DataFrame], DataFrame], marks: Sequence[str] | None = None) -> Days:
+        """Store ``change`` of the files that hold a row with a key of ``keyed``; returns their days.
+
+        ``change`` sees all rows of these files and leaves their number, their keys and dates as they
+        are.  One look at the key columns, one read and one write.  ``marks``: see ``_commit``.
+        """
+        self._finish(name)
+        day, keys = TABLES[name].date_col, keyed.columns
+        held = with_keys_of(self._with_files(name).select(*dict.fromkeys([*keys, day]), "_file"), keyed, keys)
+        places = held.select(day, "_file").distinct().collect()  # a file each at most
+        touched = {r[day] for r in places}
+        if places:
+            files = {f"{self._child(name, r[day])}/{r['_file']}" for r in places}
+            self._commit(name, change(self._read_files(name, files)), touched=touched, replaced_files=files, marks=marks)
+        return touched
+
     def _crowded(self, name: str, days: Days) -> set[str]:
         """The files of those partitions among ``days`` that hold many: rewriting them is due."""
         out: set[str] = set()

@@ -13,6 +13,7 @@ from eventloom.sources.lake import Lake
 from tests.conftest import SF, rows_of
 
 AS_OF = "2024-01-31 00:00:00"
+LATER = "2024-02-03 06:00:00"
 MODELS = (
     "stg_events", "stg_users", "user_metrics", "event_metrics", "ml_features", "user_analytics", "business_metrics",
 )
@@ -273,6 +274,20 @@ def test_changed_user_is_patched_without_events(spark, loaded, monkeypatch):
     assert before - after and len(before - after) <= len({r[0] for r in read("user_metrics").where("user_id = '1'").select("date").collect()})
 
 
+def test_changed_users_are_patched_by_one_write_of_the_files(spark, loaded, monkeypatch):
+    """No upsert of patched rows; other users in the files keep what they say at any run time."""
+    lake, _ = loaded
+    upserts, upsert = [], lake.upsert
+    shown = {n: [r for r in rows_of(daily.read(lake, n, LATER)) if "1" not in r[:1]] for n in ("user_metrics", "ml_features", "user_analytics")}
+    some = star.raw_users(spark, SF).where("user_id IN ('1', 'nobody')").withColumn("country", F.lit("xx"))
+    lake.upsert("users", some)
+    monkeypatch.setattr(lake, "upsert", lambda name, *a, **k: upserts.append(name) or upsert(name, *a, **k))
+    daily._stage_users(lake, LATER)
+    assert upserts == ["stg_users"]
+    for name, before in shown.items():
+        assert [r for r in rows_of(daily.read(lake, name, LATER)) if "1" not in r[:1]] == before, name
+
+
 def test_versions_of_the_state_are_merged(loaded, monkeypatch):
     lake, raw = loaded
     monkeypatch.setattr(carried, "MAX_VERSIONS", 1)

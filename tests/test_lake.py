@@ -378,3 +378,13 @@ def test_files_that_share_a_checksum_are_all_read(spark, lake, monkeypatch):
     monkeypatch.setattr(lake_module.zlib, "crc32", lambda text: 0)
     lake.upsert("events", events_on(spark, ("a", "click", "2024-01-02 10:00:00", "new"), ("b", "click", "2024-01-02 10:00:00", "new")))
     assert stored(lake) == [("a", D2, "new"), ("b", D2, "new"), ("c", D1, "old")]
+
+
+def test_a_delivery_reads_its_source_once(spark, lake, tmp_path, monkeypatch):
+    events_on(spark, ("a", "click", "2024-01-01 10:00:00", "x"), ("b", "click", None, "y")).write.parquet(str(tmp_path / "landing"))
+    seen, upsert = [], lake.upsert
+    monkeypatch.setattr(lake, "upsert", lambda name, rows, **k: seen.extend(rows.inputFiles()) or upsert(name, rows, **k))
+    for _ in range(2):
+        lake.append_day("events", spark.read.parquet(str(tmp_path / "landing")), D1)
+    assert seen and not any("/landing/" in f for f in seen)
+    assert stored(lake) == [("a", D1, "x"), ("b", None, "y")]
