@@ -166,6 +166,8 @@ class Slice:
         """(rows of new days, complete; rows of late days, of the users concerned) by a model of user days."""
         behind = F.col(day) >= F.lit(min(self.new)) if self.new else F.lit(False)
         late = model(self.history()).where(F.col(day) >= F.lit(min(self.late))) if self.late else None
+        if late is not None:  # both parts of it are stored, the earlier one from several looks
+            late = self.state.lake.materialise(late, "late-days")
         fresh = model(self.following()).where(behind) if self.new else None
         if late is None or fresh is None:
             return fresh, late

@@ -220,7 +220,6 @@ class _Models:
             part = carried.Slice(self.state, metrics, dated, lake.pending("user_windows") is not None)
             fresh, late = part.rows(lambda rows: model(rows, self.as_of), day)
             if late is not None:
-                late = lake.materialise(late, f"late-{name}")
                 earlier = (F.col(day) >= F.lit(min(part.late))) & (F.col(day) < F.lit(min(part.new)) if part.new else F.lit(True))
                 held = with_keys_of(lake.read(name).where(earlier).select("user_id", day), part.affected, ["user_id"])
                 lake.upsert(name, late, gone=without_keys_of(held, late, ["user_id", day]))
