@@ -78,6 +78,18 @@ def test_no_python_in_any_batch_plan(spark):
         assert "Python" not in text and "Pandas" not in text
 
 
+def test_error_lists_are_generated_code(spark):
+    """A lambda is interpreted row by row; staging must need none for its error lists."""
+    raw = star.with_gaps(star.raw_events(spark, SF))
+    for df in (staging.stg_events(raw, AS_OF), staging.stg_users(star.raw_users(spark, SF), AS_OF)):
+        errors = df.select("is_valid", "validation_errors")
+        assert "lambda" not in plan(errors)
+        assert not errors.schema["validation_errors"].dataType.containsNull
+        # Valid rows have an empty list, the others say why; no empty label is left in any.
+        assert errors.where("is_valid != (size(validation_errors) = 0) OR array_contains(validation_errors, '')").isEmpty()
+        assert not errors.where("NOT is_valid").isEmpty()
+
+
 def test_partitioned_writes_are_rebalanced(spark):
     text = plan(spread(star.raw_events(spark, SF), "event_date", ("user_id",)))
     assert "REBALANCE_PARTITIONS_BY_COL" in text
