@@ -92,3 +92,25 @@ def test_every_substitution_the_rule_accepts(spark):
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string")
     got = found(d.leaks(df, spark.createDataFrame(items, "item_id long, text string")))
     assert set(got) == {(i, n) for i, (n, _) in enumerate(docs)}
+
+
+def test_one_pass_however_many_items(spark):
+    """Beyond seed_rows hashes the documents are still split once, and only the filter is broadcast."""
+    docs, items = corpus()
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for seed_rows, broadcasts in ((40, 1), (d.SEED_ROWS, 3)):
+        execution = d.leaks(df, bench, seed_rows=seed_rows)._jdf.queryExecution()
+        assert execution.optimizedPlan().toString().count("regexp_extract_all") == 1
+        assert execution.executedPlan().toString().count("BroadcastExchange") == broadcasts
+
+
+def test_a_crowded_filter_loses_nothing(spark, monkeypatch):
+    docs, items = corpus(2)
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    seeds = d._seeds(d._hashed(d.item_windows(bench), "_around"), F.lit(d.BEFORE)).select("_seed")
+    others = spark.range(20_000).select(F.xxhash64("id").alias("_seed"))
+    n = seeds.count()
+    assert d._passing(others, seeds, n).count() < 200
+    monkeypatch.setattr(d, "FILTER_BITS", 1)
+    assert d._passing(seeds, seeds, n).count() == n
+    assert found(d.leaks(df, bench)) == brute(docs, items)
